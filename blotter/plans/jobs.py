@@ -36,7 +36,10 @@ def ingest_lines(lines: DataFrame, cfg: Config, load_id: str) -> dict:
     holds one partition per load.
     """
     spark = lines.sparkSession
-    with sink.staged(validate.check(parse(lines)), cfg) as checked:
+    checked = validate.check(parse(lines))
+    # The raw line is only kept where it is needed, with a rejected record.
+    raw_if_bad = F.when(F.size(validate.ERRORS) > 0, F.col(validate.RAW))
+    with sink.staged(checked.withColumn(validate.RAW, raw_if_bad), cfg) as checked:
         counts = validate.summary(checked).first().asDict()
         if counts["quarantined"]:
             rejected = validate.quarantined(checked)

@@ -33,6 +33,10 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# More partitions than this cost the driver more in bookkeeping than they save the tasks.
+MOST_PARTITIONS = 65_536
+
+
 def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int) -> int:
     """Raise the shuffle partition count until one partition holds about `partition_bytes`.
 
@@ -40,7 +44,8 @@ def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int) -
     shuffle that was given too few, so the count is only ever raised.
     """
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(current, -(-input_bytes // partition_bytes))
-    if wanted > current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    wanted = min(-(-input_bytes // partition_bytes), MOST_PARTITIONS)
+    if wanted <= current:
+        return current
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return wanted

@@ -120,8 +120,8 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Size of the files under a path."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    return sum(s.getLength() if s.isFile() else system.getContentSummary(s.getPath()).getLength()
-               for s in (system.globStatus(target) or []))
+    """Size of the files under a path, which may be a pattern."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    matches = system.globStatus(pattern) or []
+    return sum(system.getContentSummary(match.getPath()).getLength() for match in matches)

@@ -441,7 +441,8 @@ FROM (SELECT count(*) AS total, count(*) FILTER (error = '') AS valid,
              count(*) FILTER (error <> '') AS quarantined FROM checked) AS c
 """),
         "bronze_merge_insert": _query(
-            "trades", f"SELECT {_TRADE} FROM trades WHERE event_id % 3 = 0 OR event_id % 2 = 0"
+            "trades",
+            f"SELECT {_TRADE}, CASE status WHEN 'PENDING' THEN 'arriving' ELSE 'earlier' END AS _source FROM trades",
         ),
         "silver_clean": _query(
             "clean_records",

@@ -112,10 +112,10 @@ def bronze_validate(spark, sf_dir):
 
 
 def bronze_merge_insert(spark, sf_dir):
-    """Every third trade is in the target; every second one arrives, twice."""
-    rows = trades_view.trades(spark, sf_dir, keep_event_id=True)
-    target = rows.where(F.col("event_id") % 3 == 0).drop("event_id")
-    arriving = rows.where(F.col("event_id") % 2 == 0).drop("event_id")
+    """Everything but the pending trades is there already; then all trades arrive, twice."""
+    rows = _trades(spark, sf_dir)
+    target = rows.where(F.col("status") != "PENDING").withColumn("_source", F.lit("earlier"))
+    arriving = rows.withColumn("_source", F.lit("arriving"))
     batch = arriving.unionByName(arriving)
     fresh = insert_only.new_rows(batch, target, "trade_id", F.col("trade_timestamp"))
     return target.unionByName(fresh)

@@ -1,0 +1,114 @@
+"""Landing lines: parsing and validation."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+
+from blotter.operators import validate
+from blotter.sources.landing import parse, read_lines
+from tests.conftest import GOOD, line, trade
+
+
+def outcome(spark, *lines):
+    """Errors per line, in order of the lines."""
+    df = spark.createDataFrame([(text,) for text in lines], "value string")
+    checked = validate.check(parse(df))
+    found = {row[validate.RAW]: list(row[validate.ERRORS]) for row in checked.collect()}
+    return [found.get(text) for text in lines]
+
+
+def test_valid_line(spark):
+    assert outcome(spark, line()) == [[]]
+
+
+BAD_FIELDS = [
+    ({"price": ...}, "price: missing"),
+    ({"desk": None}, "desk: missing"),
+    ({"direction": "buy"}, "direction: not BUY or SELL"),
+    ({"direction": " BUY"}, "direction: not BUY or SELL"),
+    ({"status": "UNKNOWN"}, "status: unknown value"),
+    ({"notional": 0}, "notional: not positive"),
+    ({"notional": -1.5}, "notional: not positive"),
+    ({"notional": "abc"}, "notional: not a decimal(24,4)"),
+    ({"notional": float("nan")}, "notional: not a decimal(24,4)"),
+    ({"notional": 1e30}, "notional: not a decimal(24,4)"),
+    ({"trader_id": "TRD_001"}, "trader_id: does not start with TDR_"),
+    ({"trade_timestamp": "not-a-time"}, "trade_timestamp: not a timestamp"),
+    ({"trade_timestamp": 1700000000}, "trade_timestamp: not a timestamp"),
+    ({"is_anomaly": "maybe"}, "is_anomaly: not a boolean"),
+    ({"counterparty": 123}, "counterparty: not text"),
+    ({"instrument": True}, "instrument: not text"),
+    ({"desk": {"name": "FX"}}, "desk: not text"),
+    ({"region": ["EMEA"]}, "region: not text"),
+]
+
+
+def test_bad_fields(spark):
+    lines = [line(**changes, trade_id=f"t{i}") for i, (changes, _) in enumerate(BAD_FIELDS)]
+    assert outcome(spark, *lines) == [[message] for _, message in BAD_FIELDS]
+
+
+GOOD_VARIANTS = [
+    {"notional": "1.5"},
+    {"is_anomaly": "true"},
+    {"is_anomaly": 1},
+    {"counterparty": "123"},
+    {"counterparty": "true"},
+    {"counterparty": "{x} {y}"},
+    {"counterparty": 'a "quoted" } { name'},
+    {"foo": {"nested": [1, {"a": 2}]}},
+    {"trade_timestamp": "2026-01-05 09:30:00"},
+]
+
+
+def test_accepted_variants(spark):
+    lines = [line(**changes, trade_id=f"t{i}") for i, changes in enumerate(GOOD_VARIANTS)]
+    assert outcome(spark, *lines) == [[]] * len(lines)
+
+
+def test_several_faults_are_all_named(spark):
+    (errors,) = outcome(spark, line(notional=0, direction="HOLD"))
+    assert errors == ["direction: not BUY or SELL", "notional: not positive"]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "{oops",
+        "[1]",
+        "5",
+        '"text"',
+        "null",
+        f"[{line()}]",
+        f"{line()} trailing",
+        f"{line()}{line(trade_id='t2')}",
+        f"{line()},{line(trade_id='t2')}",
+        str(GOOD),
+    ],
+)
+def test_malformed_lines(spark, text):
+    assert outcome(spark, text) == [["malformed_json"]]
+
+
+def test_blank_lines_are_skipped(spark):
+    assert outcome(spark, "", "   ", line()) == [None, None, []]
+
+
+def test_split_keeps_every_line(spark, tmp_path):
+    path = tmp_path / "in.jsonl"
+    path.write_text("\n".join([line(), line(notional=0, direction="HOLD"), "{oops", "", ""]))
+    checked = validate.check(parse(read_lines(spark, str(path))))
+    good = validate.valid(checked).collect()
+    bad = validate.quarantined(checked).collect()
+    assert [r.asDict() for r in good] == [
+        {k: json.dumps(v) if isinstance(v, bool) else str(v) for k, v in trade().items()}
+    ]
+    assert sorted(r._error for r in bad) == [
+        "direction: not BUY or SELL; notional: not positive", "malformed_json",
+    ]
+    assert {r._raw for r in bad} == {"{oops", line(notional=0, direction="HOLD")}
+    total = validate.summary(checked).first()
+    assert (total.total, total.valid, total.quarantined) == (3, 1, 2)
+    assert (float(total.valid_pct), float(total.quarantined_pct)) == (33.33, 66.67)

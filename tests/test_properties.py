@@ -1,0 +1,94 @@
+"""Invariants on generated trades."""
+
+from __future__ import annotations
+
+from datetime import datetime
+from decimal import Decimal
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from blotter.config import INSTRUMENTS, Config
+from blotter.operators import validate
+from blotter.plans import gold
+from blotter.plans.silver import silver
+from blotter.sources.landing import parse
+from tests.conftest import line, trade
+
+CFG = Config()
+SLOW = settings(
+    max_examples=8,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow],
+)
+
+TRADES = st.lists(
+    st.fixed_dictionaries(
+        {
+            "trader_id": st.sampled_from(["TDR_001", "TDR_002"]),
+            "instrument": st.sampled_from(INSTRUMENTS),
+            "direction": st.sampled_from(["BUY", "SELL"]),
+            "notional": st.decimals("0.01", "99999999", places=2).map(str),
+            "status": st.sampled_from(["EXECUTED", "PENDING", "CANCELLED"]),
+            "trade_timestamp": st.datetimes(datetime(2026, 1, 1), datetime(2026, 1, 3)).map(str),
+            "is_anomaly": st.booleans(),
+        }
+    ),
+    min_size=1,
+    max_size=30,
+)
+
+
+@SLOW
+@given(TRADES)
+def test_marts_agree_with_each_other(bronze, made):
+    trades = [trade(trade_id=f"t{i:03d}", **fields) for i, fields in enumerate(made)]
+    df = silver(bronze(*trades), CFG, n_rows=len(trades))
+    cube = gold.activity_cube(gold.enriched(gold.staging(df), CFG))
+    daily = gold.daily_volume(cube).collect()
+    risk = gold.risk_exposure(cube, CFG).collect()
+    top = gold.top_instruments(cube).collect()
+
+    live = [t for t in trades if t["status"] != "CANCELLED"]
+    assert sum(r.trade_count for r in daily) == len(live)
+    assert sum(r.total_trades for r in risk) == len(live)
+    assert sum(r.trade_count for r in top) == len(live)
+    for r in daily:
+        assert r.buy_count + r.sell_count == r.trade_count
+        assert r.net_volume_eur == r.buy_volume_eur - r.sell_volume_eur
+        assert r.market_hours_count + r.after_hours_count == r.trade_count
+    for r in risk:
+        assert r.net_exposure_eur == r.gross_long_eur - r.gross_short_eur
+        assert r.total_notional_eur == r.gross_long_eur + r.gross_short_eur
+    totals = [sum(r[c] for r in rows) for rows, c in (
+        (daily, "total_notional_eur"), (risk, "total_notional_eur"), (top, "total_volume_eur"),
+    )]
+    assert totals[0] == totals[1] == totals[2]
+    if totals[0]:
+        share = sum(r.volume_share_pct for r in top)
+        assert abs(share - 100) <= Decimal("0.01") * len(top)
+    assert sorted(r.volume_rank for r in top)[:1] == ([1] if top else [])
+
+
+LINES = st.lists(
+    st.one_of(
+        st.builds(lambda n: line(notional=n), st.integers(-5, 5)),
+        st.builds(lambda d: line(direction=d), st.sampled_from(["BUY", "SELL", "buy", ""])),
+        st.text(st.characters(blacklist_characters="\n\r\0", blacklist_categories=["Cs"])),
+        st.just(""),
+    ),
+    min_size=1,
+    max_size=30,
+)
+
+
+@SLOW
+@given(LINES)
+def test_every_line_is_accepted_or_quarantined(spark, lines):
+    df = spark.createDataFrame([(text,) for text in lines], "value string")
+    checked = validate.check(parse(df))
+    total = validate.summary(checked).first()
+    filled = sum(1 for text in lines if text.strip(" "))
+    assert total.valid + total.quarantined == total.total == filled
+    assert validate.valid(checked).count() == total.valid
+    assert validate.quarantined(checked).count() == total.quarantined
