@@ -6,6 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def sample_rows(df: DataFrame, n: int, *columns: str) -> DataFrame:
+    """Any `n` rows to look at, of all or of some columns."""
+    return (df.select(*columns) if columns else df).limit(n)
+
+
 def breakdown(df: DataFrame, column: str) -> DataFrame:
     """Rows per value of a column, in order of the value."""
     return df.groupBy(column).count().orderBy(column)

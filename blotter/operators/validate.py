@@ -6,6 +6,9 @@ here also survives there: nothing is lost between Bronze and Silver without a re
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,57 +32,65 @@ TRADER_PREFIX = "TDR_"
 
 # Columns a parsed landing line brings along besides the twelve fields.
 RAW, MALFORMED, NOT_TEXT = "_raw", "_malformed", "_not_text"
-ERRORS = "_errors"
-
-
-def _complaint(broken: Column, message: str) -> Column:
-    return F.when(broken, F.lit(message))
+VALID, ERRORS = "_valid", "_errors"
 
 
-def _complaints() -> list[Column]:
-    found = [_complaint(F.col(name).isNull(), f"{name}: missing") for name in FIELDS]
+def _field_rules() -> list[tuple[Column, str]]:
+    """When a rule is broken, and what to say then. An unknown outcome is not a break."""
+    rules = [(F.col(name).isNull(), f"{name}: missing") for name in FIELDS]
     for name, kind in CAST_TO.items():
         lost = F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull()
-        found.append(_complaint(lost, f"{name}: not a {kind}"))
-    found += [
-        _complaint(~F.col("direction").isin(*DIRECTIONS), "direction: not BUY or SELL"),
-        _complaint(~F.col("status").isin(*STATUSES), "status: unknown value"),
-        _complaint(F.col("notional").try_cast(AMOUNT) <= 0, "notional: not positive"),
-        _complaint(
+        rules.append((lost, f"{name}: not a {kind}"))
+    return rules + [
+        (~F.col("direction").isin(*DIRECTIONS), "direction: not BUY or SELL"),
+        (~F.col("status").isin(*STATUSES), "status: unknown value"),
+        (F.col("notional").try_cast(AMOUNT) <= 0, "notional: not positive"),
+        (
             ~F.col("trader_id").startswith(TRADER_PREFIX),
             f"trader_id: does not start with {TRADER_PREFIX}",
         ),
     ]
-    return found
 
 
 def check(records: DataFrame) -> DataFrame:
-    """Add `_errors`, the list of broken rules of each record; empty for a valid one."""
-    per_field = F.array_compact(F.array(*_complaints()))
-    if MALFORMED not in records.columns:
-        return records.withColumn(ERRORS, per_field)
-    wrong_type = F.transform(F.col(NOT_TEXT), lambda name: F.concat(name, F.lit(": not text")))
-    errors = F.when(F.col(MALFORMED), F.array(F.lit("malformed_json"))).otherwise(
-        F.concat(per_field, wrong_type)
+    """Add `_valid`, and `_errors` with every broken rule of a record that is not.
+
+    `_valid` is one boolean expression, so a filter on it stays in generated code; the list is
+    only built for the records that need it.
+    """
+    rules = _field_rules()
+    any_broken = reduce(or_, [broken for broken, _ in rules])
+    errors = F.array_compact(F.array(*[F.when(broken, F.lit(text)) for broken, text in rules]))
+    if MALFORMED in records.columns:
+        wrong_type = F.transform(NOT_TEXT, lambda name: F.concat(name, F.lit(": not text")))
+        malformed = F.col(MALFORMED)
+        any_broken = malformed | (F.size(NOT_TEXT) > 0) | any_broken
+        errors = F.when(malformed, F.array(F.lit("malformed_json"))).otherwise(
+            F.concat(errors, wrong_type)
+        )
+    is_valid = ~F.coalesce(any_broken, F.lit(False))
+    return records.select(
+        "*",
+        is_valid.alias(VALID),
+        F.when(is_valid, F.array().cast("array<string>")).otherwise(errors).alias(ERRORS),
     )
-    return records.withColumn(ERRORS, errors)
 
 
 def valid(checked: DataFrame) -> DataFrame:
     """The accepted records, their twelve fields as they arrived."""
-    return checked.where(F.size(ERRORS) == 0).select(*FIELDS)
+    return checked.where(F.col(VALID)).select(*FIELDS)
 
 
 def quarantined(checked: DataFrame) -> DataFrame:
     """The rejected records with every reason in `_error`, and the raw line if there is one."""
     raw = [RAW] if RAW in checked.columns else []
     reasons = F.array_join(ERRORS, "; ").alias("_error")
-    return checked.where(F.size(ERRORS) > 0).select(*raw, *FIELDS, reasons)
+    return checked.where(~F.col(VALID)).select(*raw, *FIELDS, reasons)
 
 
 def summary(checked: DataFrame) -> DataFrame:
     """One row: totals and percentages of the validation."""
-    is_valid = F.size(ERRORS) == 0
+    is_valid = F.col(VALID)
     counted = checked.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(is_valid).alias("valid"),

@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.config import GOLD_TABLES, Config
-from blotter.operators import cleaning, quality, validate
+from blotter.operators import cleaning, profile, quality, validate
 from blotter.operators.insert_only import new_rows
-from blotter.operators.profile import reconciliation, silver_summary
 from blotter.plans import gold
 from blotter.plans.silver import silver
-from blotter.session import pin_utc, size_shuffles
+from blotter.session import prepare, size_shuffles
 from blotter.sinks import tables as sink
 from blotter.sinks.csv_export import export
+from blotter.sources import files
 from blotter.sources.landing import parse, read_lines
 from blotter.sources.tables import (
     SILVER_REQUIRED,
@@ -38,7 +38,7 @@ def ingest_lines(lines: DataFrame, cfg: Config, load_id: str) -> dict:
     spark = lines.sparkSession
     checked = validate.check(parse(lines))
     # The raw line is only kept where it is needed, with a rejected record.
-    raw_if_bad = F.when(F.size(validate.ERRORS) > 0, F.col(validate.RAW))
+    raw_if_bad = F.when(~F.col(validate.VALID), F.col(validate.RAW))
     with sink.staged(checked.withColumn(validate.RAW, raw_if_bad), cfg) as checked:
         counts = validate.summary(checked).first().asDict()
         if counts["quarantined"]:
@@ -62,17 +62,25 @@ def ingest_lines(lines: DataFrame, cfg: Config, load_id: str) -> dict:
 
 def ingest(spark: SparkSession, path: str, cfg: Config, load_id: str | None = None) -> dict:
     """Ingest landing files. Give a load its own id to make a re-run replace its quarantine."""
-    size_shuffles(spark, sink.stored_bytes(spark, path), cfg.partition_bytes)
+    size_shuffles(spark, files.stored_bytes(spark, path), cfg.partition_bytes)
     return ingest_lines(read_lines(spark, path), cfg, load_id or uuid4().hex)
 
 
-def transform(spark: SparkSession, cfg: Config, rates: DataFrame | None = None) -> dict:
+def transform(
+    spark: SparkSession,
+    cfg: Config,
+    rates: DataFrame | None = None,
+    bronze_path: str | None = None,
+    silver_path: str | None = None,
+) -> dict:
     """Bronze to Silver. Returns the rows read, dropped by reason, and written."""
-    pin_utc(spark)
-    size_shuffles(spark, sink.stored_bytes(spark, cfg.bronze_path), cfg.partition_bytes)
-    bronze = read_table(spark, cfg.bronze_path, cfg)
+    prepare(spark)
+    source = bronze_path or cfg.bronze_path
+    size_shuffles(spark, files.stored_bytes(spark, source), cfg.partition_bytes)
+    bronze = read_table(spark, source, cfg)
     counts = cleaning.intake(bronze).first().asDict()
-    counts["silver"] = sink.write_silver(silver(bronze, cfg, rates, counts["bronze"]), cfg)
+    made = silver(bronze, cfg, rates, counts["bronze"])
+    counts["silver"] = sink.write_silver(made, silver_path or cfg.silver_path, cfg)
     return counts
 
 
@@ -86,7 +94,7 @@ def gold_inputs(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
 
 def build_gold(spark: SparkSession, cfg: Config) -> dict[str, int]:
     """Read Silver once into the activity cube and roll it up into every mart."""
-    pin_utc(spark)
+    prepare(spark)
     cube = gold.activity_cube(gold_inputs(spark, cfg)["int_trade_enriched"])
     with sink.staged(cube, cfg) as cells:
         return {
@@ -95,20 +103,29 @@ def build_gold(spark: SparkSession, cfg: Config) -> dict[str, int]:
         }
 
 
+def quality_inputs(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
+    """Every table the quality rules are about, by name."""
+    return gold_inputs(spark, cfg) | {t: read_gold(spark, t, cfg) for t in GOLD_TABLES}
+
+
 def check_quality(spark: SparkSession, cfg: Config) -> list[dict]:
     """Run every rule over the views and marts; raises if a blocking one fails."""
-    tables = gold_inputs(spark, cfg) | {t: read_gold(spark, t, cfg) for t in GOLD_TABLES}
-    return quality.enforce(quality.run_suite(tables))
+    return quality.enforce(quality.run_suite(quality_inputs(spark, cfg)))
 
 
 def report(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
-    """The Silver summary and the rows per layer, as DataFrames to show or store."""
+    """What to look at after a run, as DataFrames to show or store."""
     bronze = read_table(spark, cfg.bronze_path, cfg)
     trades = read_table(spark, cfg.silver_path, cfg)
     marts = {t: read_gold(spark, t, cfg) for t in GOLD_TABLES}
     return {
-        "silver_summary": silver_summary(trades),
-        "layers": reconciliation(cleaning.intake(bronze), trades, marts),
+        "bronze_status": profile.breakdown(bronze, "status"),
+        "silver_summary": profile.silver_summary(trades),
+        "silver_days": profile.breakdown(trades, "trade_date"),
+        "alert_levels": profile.breakdown(trades, "alert_level"),
+        "risk_tiers": profile.breakdown(trades, "risk_tier"),
+        "flagged_traders": profile.flagged_traders(trades),
+        "layers": profile.reconciliation(cleaning.intake(bronze), trades, marts),
     }
 
 
@@ -116,7 +133,7 @@ def run_pipeline(
     spark: SparkSession, cfg: Config, input_path: str, load_id: str | None = None
 ) -> dict:
     """Ingest, Silver, Gold, quality gate, export. A failed step stops the later ones."""
-    pin_utc(spark)
+    prepare(spark)
     return {
         "ingest": ingest(spark, input_path, cfg, load_id),
         "silver": transform(spark, cfg),

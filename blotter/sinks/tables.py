@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.config import Config
+from blotter.sources import files
 
 # Rows of one day that lie close together: file and row-group statistics then skip on traders
 # and instruments. The last two columns let a range cut even inside one trader's instrument.
@@ -54,7 +55,7 @@ def write_load(df: DataFrame, path: str, load_id: str, cfg: Config) -> int:
     return counts["rows"]
 
 
-def write_silver(df: DataFrame, cfg: Config) -> int:
+def write_silver(df: DataFrame, path: str, cfg: Config) -> int:
     """Replace Silver: partitioned by date, clustered by trader and instrument within it."""
     clustered = df.repartitionByRange(*SILVER_LAYOUT).sortWithinPartitions(*SILVER_LAYOUT)
     with counting(clustered) as (counted, counts):
@@ -63,7 +64,7 @@ def write_silver(df: DataFrame, cfg: Config) -> int:
             .mode("overwrite")
             .option("overwriteSchema", "true")
             .partitionBy("trade_date")
-            .save(cfg.silver_path)
+            .save(path)
         )
     return counts["rows"]
 
@@ -111,17 +112,4 @@ def staged(df: DataFrame, cfg: Config) -> Iterator[DataFrame]:
     try:
         yield spark.read.parquet(path)
     finally:
-        _delete(spark, path)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Size of the files under a path, which may be a pattern."""
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
-    matches = system.globStatus(pattern) or []
-    return sum(system.getContentSummary(match.getPath()).getLength() for match in matches)
+        files.delete(spark, path)

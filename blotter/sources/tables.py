@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from blotter.config import Config
+from blotter.sources import files
 
 # What the marts need of Silver.
 SILVER_REQUIRED = (
@@ -15,9 +16,6 @@ SILVER_REQUIRED = (
     "trade_date", "risk_tier", "velocity_flag", "alert_level", "is_anomaly",
 )
 
-_NO_TABLE = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "TABLE_OR_VIEW_NOT_FOUND"}
-
-
 def read_table(spark: SparkSession, path: str, cfg: Config) -> DataFrame:
     return spark.read.format(cfg.table_format).load(path)
 
@@ -28,11 +26,13 @@ def read_path_sql(spark: SparkSession, path: str, cfg: Config) -> DataFrame:
 
 
 def table_exists(spark: SparkSession, path: str, cfg: Config) -> bool:
-    """Whether a table was written at the path. Any other trouble with the path is raised."""
+    """Whether a table was written at the path. A folder without data files holds none."""
+    if not files.exists(spark, path):
+        return False
     try:
         read_table(spark, path, cfg).schema
     except AnalysisException as error:
-        if error.getCondition() in _NO_TABLE:
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             return False
         raise
     return True

@@ -138,6 +138,9 @@ def test_summary_and_breakdown(bronze):
     assert [tuple(r) for r in profile.breakdown(made, "status").collect()] == [
         ("EXECUTED", 2), ("PENDING", 1),
     ]
+    sample = profile.sample_rows(made, 2, "trade_id", "status")
+    assert (sample.count(), sample.columns) == (2, ["trade_id", "status"])
+    assert profile.sample_rows(made, 5).count() == 3
     empty = profile.silver_summary(made.where("false")).first()
     assert (empty.total_rows, empty.traders) == (0, 0)
 

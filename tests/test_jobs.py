@@ -13,6 +13,7 @@ from blotter.plans import gold, jobs
 from blotter.session import MOST_PARTITIONS, size_shuffles
 from blotter.sinks import tables as sink
 from blotter.sinks.csv_export import ExportError, export
+from blotter.sources import files
 from blotter.sources.tables import (
     ContractError,
     read_gold,
@@ -79,6 +80,11 @@ def test_ingest_of_bad_lines_only_writes_no_bronze(spark, cfg, landing):
     assert not table_exists(spark, cfg.bronze_path, cfg)
 
 
+def test_an_empty_folder_is_no_table(spark, cfg):
+    Path(cfg.bronze_path).mkdir(parents=True)
+    assert not table_exists(spark, cfg.bronze_path, cfg)
+
+
 def test_staging_is_removed(spark, cfg, landing):
     jobs.ingest(spark, landing(*GOOD_LINES), cfg)
     shared = Path(sink._shared_folder(spark, cfg).removeprefix("file:")) / "blotter"
@@ -95,6 +101,9 @@ def test_silver_job_counts_and_layout(spark, cfg, landing):
     assert days == {"trade_date=2026-01-05", "trade_date=2026-01-06"}
     assert jobs.transform(spark, cfg)["silver"] == 3
     assert read_table(spark, cfg.silver_path, cfg).count() == 3
+    other = f"{cfg.root}/elsewhere"
+    assert jobs.transform(spark, cfg, silver_path=other)["silver"] == 3
+    assert read_table(spark, other, cfg).count() == 3
 
 
 def test_pipeline(spark, cfg, landing):
@@ -125,6 +134,9 @@ def test_pipeline(spark, cfg, landing):
         "silver": 3, **result["gold"],
     }
     assert report["silver_summary"].first().total_rows == 3
+    assert [tuple(r) for r in report["alert_levels"].collect()] == [("NORMAL", 3)]
+    assert [r["count"] for r in report["silver_days"].collect()] == [2, 1]
+    assert report["flagged_traders"].count() == 0
     assert spark.table("int_trade_enriched").limit(2).count() == 2
 
 
@@ -155,7 +167,7 @@ def test_export_reports_failures_after_exporting_the_rest(spark, cfg, landing):
     jobs.transform(spark, cfg)
     jobs.build_gold(spark, cfg)
     target = Path(cfg.root) / "export"
-    sink._delete(spark, cfg.gold_path("mart_daily_volume"))
+    files.delete(spark, cfg.gold_path("mart_daily_volume"))
     with pytest.raises(ExportError, match="mart_daily_volume"):
         export(spark, str(target), cfg)
     assert (target / "mart_top_instruments").exists()
