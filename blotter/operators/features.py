@@ -14,9 +14,15 @@ TIME_ORDER = ("trade_timestamp", "trade_id")
 
 
 def fx_table(spark: SparkSession, cfg: Config) -> DataFrame:
-    """The configured rates as a dimension table (instrument, rate)."""
-    rows = list(cfg.fx_rates.items())
-    return spark.createDataFrame(rows, f"instrument string, rate {money.RATE}")
+    """The configured rates as a dimension (instrument, rate), to be broadcast.
+
+    It has one row per configured rate, and Spark sees that: the rows are literals of the plan.
+    """
+    rows = [
+        F.struct(F.lit(name).alias("instrument"), F.lit(rate).cast(money.RATE).alias("rate"))
+        for name, rate in cfg.fx_rates.items()
+    ]
+    return F.broadcast(spark.range(1).select(F.inline(F.array(*rows))))
 
 
 def convert_with(trades: DataFrame, rates: DataFrame) -> DataFrame:

@@ -70,6 +70,11 @@ def test_silver_filters_reach_the_files(spark, tmp_path):
     assert "EqualTo(trader_id,TDR_001)" in plan and "Not(EqualTo(status,CANCELLED))" in plan
 
 
+def test_fx_conversion_does_not_shuffle_trades(spark):
+    """An instrument may hold a third of the trades: its rate goes to the trades instead."""
+    assert shuffles(registry.queries()["fx_conversion"](spark, SMALL)) == []
+
+
 def test_customers_are_broadcast_only_while_small(spark):
     """Above the threshold the growing dimension is shuffled, the fixed ones stay broadcast."""
     key = "spark.sql.autoBroadcastJoinThreshold"
