@@ -49,6 +49,10 @@ class Config:
     # ... of which there are about this many at most over the whole data set.
     max_segments: int = 65_536
 
+    # Range-cluster Silver by trader and instrument within a date. It costs a sampling pass over
+    # the finished rows; without it Spark only balances the files of each date.
+    cluster_silver: bool = True
+
     # Shuffle partitions are sized so that each holds about this many bytes.
     partition_bytes: int = 128 * 1024 * 1024
     # A mart up to this many rows is exported as one CSV part, a larger one as several.

@@ -56,9 +56,16 @@ def write_load(df: DataFrame, path: str, load_id: str, cfg: Config) -> int:
 
 
 def write_silver(df: DataFrame, path: str, cfg: Config) -> int:
-    """Replace Silver: partitioned by date, clustered by trader and instrument within it."""
-    clustered = df.repartitionByRange(*SILVER_LAYOUT).sortWithinPartitions(*SILVER_LAYOUT)
-    with counting(clustered) as (counted, counts):
+    """Replace Silver: partitioned by date, sorted by trader and instrument within a file.
+
+    Clustered, a file holds a narrow range of them as well. Otherwise adaptive execution
+    balances the rows of a date over files, splitting a hot date.
+    """
+    if cfg.cluster_silver:
+        placed = df.repartitionByRange(*SILVER_LAYOUT)
+    else:
+        placed = df.hint("rebalance", "trade_date")
+    with counting(placed.sortWithinPartitions(*SILVER_LAYOUT)) as (counted, counts):
         (
             counted.write.format(cfg.table_format)
             .mode("overwrite")

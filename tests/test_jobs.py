@@ -102,10 +102,38 @@ def test_silver_job_counts_and_layout(spark, cfg, landing):
     assert jobs.transform(spark, cfg)["silver"] == 3
     assert read_table(spark, cfg.silver_path, cfg).count() == 3
     other = f"{cfg.root}/elsewhere"
-    assert jobs.transform(spark, cfg, silver_path=other)["silver"] == 3
+    balanced = replace(cfg, cluster_silver=False)
+    assert jobs.transform(spark, balanced, silver_path=other)["silver"] == 3
     assert read_table(spark, other, cfg).count() == 3
 
 
+def test_clustered_files_hold_few_traders(spark, cfg, landing):
+    """A trader's rows lie in few files, and a hot trader's rows in several."""
+    lines = [
+        line(
+            trade_id=f"t{i:04d}",
+            trader_id="TDR_000" if i % 3 == 0 else f"TDR_{i % 40 + 1:03d}",
+            trade_timestamp=f"2026-01-05T09:{i // 60 % 60:02d}:{i % 60:02d}",
+        )
+        for i in range(900)
+    ]
+    jobs.ingest(spark, landing(*lines), cfg)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        jobs.transform(spark, cfg)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    rows = read_table(spark, cfg.silver_path, cfg).selectExpr(
+        "trader_id", "input_file_name() AS file"
+    ).collect()
+    files_of = {}
+    for r in rows:
+        files_of.setdefault(r.trader_id, set()).add(r.file)
+    assert len({r.file for r in rows}) == 8
+    assert len(files_of["TDR_000"]) >= 2
+    assert all(len(f) <= 2 for trader, f in files_of.items() if trader != "TDR_000")
+
+
 def test_pipeline(spark, cfg, landing):
     path = landing(*GOOD_LINES, *BAD_LINES)
     result = jobs.run_pipeline(spark, cfg, path, "load-1")
