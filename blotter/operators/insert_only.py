@@ -12,7 +12,8 @@ def first_copies(batch: DataFrame, key: str, earliest: Column) -> DataFrame:
     Spark keeps the first row of each key in every map task before the shuffle (a partial
     window group limit), so a key with very many copies does not end up in one task.
     """
-    by_age = Window.partitionBy(key).orderBy(earliest, *[c for c in batch.columns if c != key])
+    others = [name for name in batch.columns if name != key]
+    by_age = Window.partitionBy(key).orderBy(earliest.asc_nulls_last(), *others)
     numbered = batch.withColumn("_copy", F.row_number().over(by_age))
     return numbered.where(F.col("_copy") == 1).drop("_copy")
 

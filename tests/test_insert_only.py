@@ -16,7 +16,8 @@ def rows(df):
 
 def test_earliest_then_smallest_copy_wins(spark):
     batch = spark.createDataFrame(
-        [("a", 2, "late"), ("a", 1, "z"), ("a", 1, "b"), ("b", None, "x"), ("c", 3, "c")], SCHEMA
+        [("a", 2, "late"), ("a", 1, "z"), ("a", 1, "b"), ("a", None, "a"), ("b", None, "x"), ("c", 3, "c")],
+        SCHEMA,
     )
     assert rows(first_copies(batch, "trade_id", F.col("at"))) == [
         ("a", 1, "b"), ("b", None, "x"), ("c", 3, "c"),
