@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 from uuid import uuid4
 
@@ -42,6 +43,20 @@ def with_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(*doc_key(id_col, text_col), F.struct("*").alias("_row"))
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        root, name = os.path.split(package)
+        archive = os.path.join(tempfile.mkdtemp(), name)
+        context.addPyFile(shutil.make_archive(archive, "zip", root, name))
+        _shipped.add(context.applicationId)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

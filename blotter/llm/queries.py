@@ -4,14 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from blotter.llm import line_dedup
+from blotter.llm import (
+    block_topk,
+    byte_bpe,
+    line_dedup,
+    packing,
+    quality_rules,
+    url_reputation,
+)
+from blotter.llm.common import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -19,6 +30,38 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(_table(spark, sf_dir, "documents"))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(
+        _table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    )
+    return packing.packing_report(packed)
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_report(_table(spark, sf_dir, "documents"))
+
+
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's outcome is the quality label of its number; the given labels name nothing closer."""
+    labels = _table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("page_id"), F.col("quality").alias("good")
+    )
+    judged = url_reputation.judge_pages(_table(spark, sf_dir, "pages"), labels)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_topk.top_k_of_embeddings(_table(spark, sf_dir, "embeddings"))
+
+
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    documents = _table(spark, sf_dir, "documents")
+    return byte_bpe.encoding_report(byte_bpe.encode(documents, ranks, public_tokenizers.PATTERN))
+
+
 OP1_SQL = r"""
 WITH lines AS (
   SELECT doc_id, UNNEST(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -39,10 +82,32 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM judged GROUP BY doc_id
 """
 
+OP6_SQL = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(
+    CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_packing": op2_packing,
+    "op3_quality_rules": op3_quality_rules,
+    "op5_url_filters": op5_url_filters,
+    "op6_topk": op6_topk,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 
 SQL: dict[str, str] = {
     "op1_line_dedup": OP1_SQL,
+    "op6_topk": OP6_SQL,
 }
