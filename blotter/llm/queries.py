@@ -12,6 +12,7 @@ from blotter.llm import (
     block_topk,
     byte_bpe,
     line_dedup,
+    ngram_join,
     packing,
     quality_rules,
     url_reputation,
@@ -56,6 +57,10 @@ def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_topk.top_k_of_embeddings(_table(spark, sf_dir, "embeddings"))
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.class_report(_table(spark, sf_dir, "documents"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     documents = _table(spark, sf_dir, "documents")
@@ -104,6 +109,7 @@ QUERIES: dict[str, Query] = {
     "op3_quality_rules": op3_quality_rules,
     "op5_url_filters": op5_url_filters,
     "op6_topk": op6_topk,
+    "op7_ngram_join": op7_ngram_join,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
