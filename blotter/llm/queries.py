@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from blotter.llm import (
     block_topk,
     byte_bpe,
+    line_crf,
     line_dedup,
     ngram_join,
     packing,
@@ -44,6 +45,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(_table(spark, sf_dir, "documents"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_crf.quality_scores(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    )
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page's outcome is the quality label of its number; the given labels name nothing closer."""
     labels = _table(spark, sf_dir, "labels").select(
@@ -107,6 +114,7 @@ QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
     "op3_quality_rules": op3_quality_rules,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_url_filters": op5_url_filters,
     "op6_topk": op6_topk,
     "op7_ngram_join": op7_ngram_join,
