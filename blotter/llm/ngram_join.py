@@ -41,18 +41,12 @@ from blotter.llm.common import (
     with_key,
 )
 from blotter.llm.components import components
+from blotter.llm.tokens import WordHashes, batched, frequent_tokens, gram_hashes, shared_only
 
 WORDS = 5
 # Similar: 100 * intersection >= PERCENT * union.
 PERCENT = 75
 
-# One document in SAMPLE is looked at for frequent tokens. A token that COMMON of them hold counts
-# as frequent; the most frequent MOST_COMMON are known to every task (16 bytes each).
-SAMPLE = 16
-COMMON = 4
-MOST_COMMON = 1 << 18
-# A frequent token's list is dealt out in parts of about so many entries.
-PART = 4096
 # Sets that are compared at once come in chunks of this many; two chunks meet in a task.
 MEETING = 128
 MEETING_TOKENS = 500_000
@@ -61,33 +55,13 @@ COLUMNS = 8192
 # So many documents may be broadcast with the meetings they go to.
 BROADCAST_GUESTS = 50_000
 
-_MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD))
-
-
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
 def shingles(text: str, hashes: dict[bytes, int], size: int = WORDS) -> np.ndarray:
     """The sorted 64-bit hashes of the distinct shingles."""
     words = text.encode().lower().split()
     if len(words) < size:
         whole = xxhash.xxh3_64_intdigest(b" ".join(words), seed=len(words))
         return np.array([whole] if words else [], dtype=np.uint64)
-    one = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    n = len(words) - size + 1
-    mixed = one[:n].copy()
-    for place in range(1, size):
-        mixed *= _MIX[0]
-        mixed ^= mixed >> np.uint64(29)
-        mixed += one[place : place + n]
-    mixed *= _MIX[1]
-    mixed ^= mixed >> np.uint64(32)
-    return np.unique(mixed)
+    return np.unique(gram_hashes(words, hashes, size))
 
 
 def prefix_length(n: int) -> int:
@@ -97,7 +71,7 @@ def prefix_length(n: int) -> int:
 
 def _distinct_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
     """The sets of a partition, equal ones once."""
-    hashes, met = _WordHashes(), set()
+    hashes, met = WordHashes(), set()
     for batch in batches:
         for doc, text in zip(batch.column("_id").to_pylist(), batch.column("_text")):
             tokens = shingles(text.as_py(), hashes)
@@ -107,24 +81,11 @@ def _distinct_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.
                 yield doc, tokens
 
 
-def _batched(rows: Iterator[dict[str, np.ndarray]], size: int = 200_000) -> Iterator[pa.RecordBatch]:
-    held: list[dict[str, np.ndarray]] = []
-    count = 0
-    for row in rows:
-        held.append(row)
-        count += len(next(iter(row.values())))
-        if count >= size:
-            yield pa.record_batch({k: np.concatenate([r[k] for r in held]) for k in row})
-            held, count = [], 0
-    if held:
-        yield pa.record_batch({k: np.concatenate([r[k] for r in held]) for k in held[0]})
-
-
 def set_keys(docs: DataFrame) -> DataFrame:
     """_id, n_shingles and a 128-bit key (k1, k2) of every row's set; null keys for empty sets."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _WordHashes()
+        hashes = WordHashes()
         for batch in batches:
             sizes, digests = [], bytearray()
             for text in batch.column("_text"):
@@ -145,67 +106,35 @@ def set_keys(docs: DataFrame) -> DataFrame:
     return keyed(docs).mapInArrow(keys, "_id long, n_shingles long, k1 long, k2 long")
 
 
-def frequent_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens (sorted) and in how many sampled sets they are; at most MOST_COMMON of them."""
-
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _batched({"t": tokens.view(np.int64)} for _, tokens in _distinct_sets(batches))
-
-    sample = keyed(docs).where(F.pmod(F.xxhash64("_id"), F.lit(SAMPLE)) == 0)
-    counts = sample.mapInArrow(explode, "t long").groupBy("t").agg(F.count(F.lit(1)).alias("n"))
-    rows = counts.where(F.col("n") >= COMMON).orderBy(F.desc("n"), "t").limit(MOST_COMMON).collect()
-    tokens = np.array([r.t for r in rows], dtype=np.int64).view(np.uint64)
-    times = np.array([r.n for r in rows], dtype=np.int64)
-    order = np.argsort(tokens)
-    return tokens[order], times[order]
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    return (tokens for _, tokens in _distinct_sets(batches))
 
 
 def index_entries(docs: DataFrame) -> DataFrame:
     """The index: tokens t that two sets or more hold, with the set (document x, checksum v), its size n
     and the token's place p in it.
     """
-    common, times = frequent_tokens(docs)
+    frequent = frequent_tokens(docs, _tokens)
 
     def prefix(doc: int, tokens: np.ndarray) -> dict[str, np.ndarray]:
-        seen = np.zeros(len(tokens), dtype=np.int64)
-        if len(common):
-            place = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
-            seen = np.where(common[place] == tokens, times[place], 0)
+        seen = frequent.seen(tokens)
         first = np.lexsort((tokens, seen))[: prefix_length(len(tokens))]
-        parts = 1 + seen[first] * SAMPLE // PART
+        parts = frequent.parts(seen[first])
         return {
             "t": tokens[first].view(np.int64),
             "x": np.full(len(first), doc, dtype=np.int64),
             "v": np.full(len(first), xxhash.xxh32_intdigest(tokens.tobytes()), dtype=np.int64),
             "n": np.full(len(first), len(tokens), dtype=np.int32),
             "p": np.arange(len(first), dtype=np.int32),
-            "part": np.where(parts > 1, 1 + doc * 2654435761 % parts, 0).astype(np.int32),
+            "part": (doc * 2654435761 % parts).astype(np.int32),
+            "keep": parts > 1,
         }
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _batched(prefix(doc, tokens) for doc, tokens in _distinct_sets(batches))
-
-    columns = "t long, x long, v long, n int, p int, part int"
-    rows = keyed(docs).mapInArrow(emit, columns)
-    lists = rows.repartition("t", "part").sortWithinPartitions("t", "part")
-    return stored(lists.mapInArrow(_shared_only, columns).drop("part"))
+        yield from batched(prefix(doc, tokens) for doc, tokens in _distinct_sets(batches))
 
-
-def _shared_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Entries whose list has another entry. A list in parts is a long one: all of it stays."""
-    last, last_shared = None, False  # a batch's last row waits for what follows
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        rows = pa.Table.from_batches([batch] if last is None else [last, batch]).combine_chunks()
-        t = rows["t"].to_numpy()
-        as_before = np.append([last_shared], t[1:] == t[:-1])
-        shared = as_before | (rows["part"].to_numpy() > 0)
-        shared[:-1] |= as_before[1:]
-        yield from rows.slice(0, len(rows) - 1).filter(pa.array(shared[:-1])).to_batches()
-        last, last_shared = rows.slice(len(rows) - 1).to_batches()[0], bool(shared[-1])
-    if last is not None and last_shared:
-        yield last
+    columns = "t long, x long, v long, n int, p int, part int, keep boolean"
+    return stored(shared_only(keyed(docs).mapInArrow(emit, columns)).drop("part", "keep"))
 
 
 def meetings(entries: DataFrame) -> DataFrame:
@@ -291,7 +220,7 @@ def links(docs: DataFrame) -> DataFrame:
     invited = checkpointed(meetings(index_entries(docs)))
 
     def bring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _WordHashes()
+        hashes = WordHashes()
         for batch in batches:
             for doc, text, at in zip(
                 batch.column("_id").to_pylist(), batch.column("_text"), batch.column("at").to_pylist()
