@@ -16,6 +16,7 @@ from blotter.llm import (
     ngram_join,
     packing,
     quality_rules,
+    substring_dedup,
     url_reputation,
 )
 from blotter.llm.common import ship_package
@@ -68,6 +69,10 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.class_report(_table(spark, sf_dir, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_report(_table(spark, sf_dir, "documents"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     documents = _table(spark, sf_dir, "documents")
@@ -118,6 +123,7 @@ QUERIES: dict[str, Query] = {
     "op5_url_filters": op5_url_filters,
     "op6_topk": op6_topk,
     "op7_ngram_join": op7_ngram_join,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
