@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from blotter.llm import (
     block_topk,
     byte_bpe,
+    license_scan,
     line_crf,
     line_dedup,
     ngram_join,
@@ -69,6 +70,17 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.class_report(_table(spark, sf_dir, "documents"))
 
 
+def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document is the file source/lang/doc_id: the table has no paths of its own."""
+    part = lambda name: F.coalesce(F.col(name).cast("string"), F.lit("_"))
+    files = _table(spark, sf_dir, "documents").select(
+        F.concat_ws("/", part("source"), part("lang"), part("doc_id")).alias("path"), "text"
+    )
+    found = license_scan.licences(files)
+    doc_id = F.element_at(F.split("path", "/"), -1).try_cast("bigint")
+    return found.select(doc_id.alias("doc_id"), *found.columns)
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_report(_table(spark, sf_dir, "documents"))
 
@@ -123,6 +135,7 @@ QUERIES: dict[str, Query] = {
     "op5_url_filters": op5_url_filters,
     "op6_topk": op6_topk,
     "op7_ngram_join": op7_ngram_join,
+    "op8_license_scans": op8_license_scans,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_byte_bpe": op10_byte_bpe,
 }
