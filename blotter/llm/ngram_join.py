@@ -41,27 +41,32 @@ from blotter.llm.common import (
     with_key,
 )
 from blotter.llm.components import components
-from blotter.llm.tokens import WordHashes, batched, frequent_tokens, gram_hashes, shared_only
+from blotter.llm.tokens import (
+    batched,
+    distinct,
+    frequent_tokens,
+    gram_hashes,
+    hashed_documents,
+    shared_only,
+)
 
 WORDS = 5
 # Similar: 100 * intersection >= PERCENT * union.
 PERCENT = 75
 
 # Sets that are compared at once come in chunks of this many; two chunks meet in a task.
-MEETING = 128
+MEETING = 512
 MEETING_TOKENS = 500_000
 # The incidence matrix is multiplied in this many columns at a time.
 COLUMNS = 8192
 # So many documents may be broadcast with the meetings they go to.
 BROADCAST_GUESTS = 50_000
 
-def shingles(text: str, hashes: dict[bytes, int], size: int = WORDS) -> np.ndarray:
-    """The sorted 64-bit hashes of the distinct shingles."""
-    words = text.encode().lower().split()
+def shingles(words: np.ndarray, size: int = WORDS) -> np.ndarray:
+    """The sorted 64-bit hashes of the distinct shingles, from the words' hashes."""
     if len(words) < size:
-        whole = xxhash.xxh3_64_intdigest(b" ".join(words), seed=len(words))
-        return np.array([whole] if words else [], dtype=np.uint64)
-    return np.unique(gram_hashes(words, hashes, size))
+        return gram_hashes(words, len(words)) * np.uint64(2 * len(words) + 1)
+    return distinct(gram_hashes(words, size))
 
 
 def prefix_length(n: int) -> int:
@@ -69,41 +74,39 @@ def prefix_length(n: int) -> int:
     return n - math.ceil(n * PERCENT / 100) + 1 if n else 0
 
 
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+    for doc, _, words in hashed_documents(batches, fold=True):
+        yield doc, shingles(words)
+
+
+def _key(tokens: np.ndarray) -> np.ndarray:
+    """The two halves of a set's 128-bit key."""
+    return np.frombuffer(xxhash.xxh3_128_digest(tokens.tobytes()), dtype="<i8")
+
+
 def _distinct_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
-    """The sets of a partition, equal ones once."""
-    hashes, met = WordHashes(), set()
-    for batch in batches:
-        for doc, text in zip(batch.column("_id").to_pylist(), batch.column("_text")):
-            tokens = shingles(text.as_py(), hashes)
-            key = xxhash.xxh3_128_digest(tokens.tobytes())
-            if len(tokens) and key not in met:
-                met.add(key)
-                yield doc, tokens
+    """The sets of a partition with the first half of their key: equal ones once, empty ones not."""
+    met = set()
+    for _, tokens in _sets(batches):
+        key = _key(tokens)
+        if len(tokens) and key.tobytes() not in met:
+            met.add(key.tobytes())
+            yield int(key[0]), tokens
 
 
 def set_keys(docs: DataFrame) -> DataFrame:
     """_id, n_shingles and a 128-bit key (k1, k2) of every row's set; null keys for empty sets."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in batches:
-            sizes, digests = [], bytearray()
-            for text in batch.column("_text"):
-                tokens = shingles(text.as_py(), hashes)
-                sizes.append(len(tokens))
-                digests += xxhash.xxh3_128_digest(tokens.tobytes())
-            halves = np.frombuffer(bytes(digests), dtype="<i8").reshape(-1, 2)
-            n = np.array(sizes, dtype=np.int64)
-            yield pa.record_batch(
-                {
-                    "_id": batch.column("_id"),
-                    "n_shingles": n,
-                    "k1": pa.array(halves[:, 0], mask=n == 0),
-                    "k2": pa.array(halves[:, 1], mask=n == 0),
-                }
-            )
-
-    return keyed(docs).mapInArrow(keys, "_id long, n_shingles long, k1 long, k2 long")
+        def row(doc: int, tokens: np.ndarray) -> dict[str, np.ndarray]:
+            key, n = _key(tokens), np.array([len(tokens)])
+            return {"_id": np.array([doc]), "n_shingles": n, "k1": key[:1], "k2": key[1:]}
+
+        yield from batched((row(doc, tokens) for doc, tokens in _sets(batches)), 10_000)
+
+    made = keyed(docs).mapInArrow(keys, "_id long, n_shingles long, k1 long, k2 long")
+    known = lambda name: F.when(F.col("n_shingles") > 0, F.col(name)).alias(name)
+    return made.select("_id", "n_shingles", known("k1"), known("k2"))
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
@@ -111,30 +114,29 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
 
 
 def index_entries(docs: DataFrame) -> DataFrame:
-    """The index: tokens t that two sets or more hold, with the set (document x, checksum v), its size n
-    and the token's place p in it.
+    """The index: tokens t that two different sets hold, with the set's key x (k1), its size n and the
+    token's place p in it.
     """
     frequent = frequent_tokens(docs, _tokens)
 
-    def prefix(doc: int, tokens: np.ndarray) -> dict[str, np.ndarray]:
+    def prefix(key: int, tokens: np.ndarray) -> dict[str, np.ndarray]:
         seen = frequent.seen(tokens)
         first = np.lexsort((tokens, seen))[: prefix_length(len(tokens))]
         parts = frequent.parts(seen[first])
         return {
             "t": tokens[first].view(np.int64),
-            "x": np.full(len(first), doc, dtype=np.int64),
-            "v": np.full(len(first), xxhash.xxh32_intdigest(tokens.tobytes()), dtype=np.int64),
+            "x": np.full(len(first), key, dtype=np.int64),
             "n": np.full(len(first), len(tokens), dtype=np.int32),
             "p": np.arange(len(first), dtype=np.int32),
-            "part": (doc * 2654435761 % parts).astype(np.int32),
+            "part": (key % parts).astype(np.int32),
             "keep": parts > 1,
         }
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from batched(prefix(doc, tokens) for doc, tokens in _distinct_sets(batches))
+        yield from batched(prefix(key, tokens) for key, tokens in _distinct_sets(batches))
 
-    columns = "t long, x long, v long, n int, p int, part int, keep boolean"
-    return stored(shared_only(keyed(docs).mapInArrow(emit, columns)).drop("part", "keep"))
+    columns = "t long, x long, n int, p int, part int, keep boolean"
+    return stored(shared_only(keyed(docs).mapInArrow(emit, columns), "x").drop("part", "keep"))
 
 
 def meetings(entries: DataFrame) -> DataFrame:
@@ -144,10 +146,10 @@ def meetings(entries: DataFrame) -> DataFrame:
     common, their symmetric difference is at least the sum of both u + s; similar sets allow
     it (100 - PERCENT) / (100 + PERCENT) of the sum of their sizes. `room` is what is left of that.
     """
-    of_set = Window.partitionBy("x", "v")
-    shared_before = F.dense_rank().over(of_set.orderBy("p")) - 1
+    of_set = Window.partitionBy("x", "n")
+    shared_before = F.row_number().over(of_set.orderBy("p")) - 1
     indexed = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
-    own = F.greatest(indexed - F.size(F.collect_set("p").over(of_set)), F.lit(0))
+    own = indexed - F.count(F.lit(1)).over(of_set)
     room = (100 - PERCENT) * F.col("n") - (100 + PERCENT) * (own + shared_before)
     placed = checkpointed(
         entries.select("t", "x", "n", room.alias("room"), (own / F.col("n")).alias("own"))
@@ -215,26 +217,29 @@ def _meet(table: pa.Table) -> pa.Table:
     return pa.table({"u": docs[docs != least], "v": least[docs != least]})
 
 
-def links(docs: DataFrame) -> DataFrame:
-    """u and v: enough pairs of similar documents to connect all that are similar."""
-    invited = checkpointed(meetings(index_entries(docs)))
+def links(docs: DataFrame, equal: DataFrame) -> DataFrame:
+    """u and v: enough pairs of similar documents to connect all that are similar.
+
+    `equal` has the key (k1, k2) of every set and the first document with it, which stands for all.
+    """
+    met = meetings(index_entries(docs))
+    invited = checkpointed(met.join(equal, met["x"] == equal["k1"]).select(F.col("first").alias("x"), "at"))
 
     def bring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
-            for doc, text, at in zip(
-                batch.column("_id").to_pylist(), batch.column("_text"), batch.column("at").to_pylist()
-            ):
-                tokens = shingles(text.as_py(), hashes).tobytes()
-                if tokens:
+            for (doc, tokens), at in zip(_sets(iter([batch])), batch.column("at").to_pylist()):
+                if len(tokens):
                     yield pa.record_batch(
                         {name: pa.array([a[name] for a in at], pa.int64()) for name in ("leader", "i", "j")}
-                        | {"x": pa.array([doc] * len(at)), "tokens": pa.array([tokens] * len(at), pa.binary())}
+                        | {
+                            "x": pa.array([doc] * len(at), pa.int64()),
+                            "tokens": pa.array([tokens.tobytes()] * len(at), pa.binary()),
+                        }
                     )
 
     guests = keyed(docs).join(
         small_enough(invited, BROADCAST_GUESTS), F.col("_id") == F.col("x")
-    ).select("_id", "_text", "at")
+    ).select("_id", "_th", "_text", "at")
     brought = guests.mapInArrow(bring, "leader long, i long, j long, x long, tokens binary")
     return brought.groupBy("leader", "i", "j").applyInArrow(_meet, "u long, v long")
 
@@ -246,7 +251,7 @@ def classes(docs: DataFrame) -> DataFrame:
         keys.where(F.col("k1").isNotNull()).groupBy("k1", "k2").agg(F.min("_id").alias("first"))
     )
     copies = keys.join(equal, ["k1", "k2"]).select(F.col("_id").alias("u"), F.col("first").alias("v"))
-    found = components(copies.union(links(docs)))
+    found = components(copies.union(links(docs, equal)))
     joined = keys.join(found, keys["_id"] == found["u"], "left")
     return joined.select("_id", "n_shingles", F.coalesce("v", "_id").alias("component"))
 

@@ -33,10 +33,11 @@ from blotter.llm.common import checkpointed, given_id, keyed, small_enough, stor
 from blotter.llm.fm_index import FmIndex
 from blotter.llm.tokens import (
     Frequent,
-    WordHashes,
     batched,
+    distinct,
     frequent_tokens,
     gram_hashes,
+    hashed_documents,
     shared_only,
 )
 
@@ -47,12 +48,9 @@ OWNER_WORDS = 2_000_000
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-    hashes = WordHashes()
-    for batch in batches:
-        for text in batch.column("_text"):
-            words = text.as_py().encode().split()
-            if len(words) >= WINDOW:
-                yield np.unique(gram_hashes(words, hashes, GRAM))
+    for _, _, words in hashed_documents(batches, fold=False):
+        if len(words) >= WINDOW:
+            yield distinct(gram_hashes(words, GRAM))
 
 
 def segments(
@@ -90,15 +88,11 @@ def owned_runs(docs: DataFrame) -> DataFrame:
     frequent = frequent_tokens(docs, _tokens)
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
-        hashes = WordHashes()
-        for batch in batches:
-            names = zip(batch.column("_id").to_pylist(), batch.column("_th").to_pylist())
-            for (doc, text_hash), text in zip(names, batch.column("_text")):
-                words = text.as_py().encode().split()
-                if len(words) >= WINDOW:
-                    found = segments(gram_hashes(words, hashes, GRAM), frequent, doc % 65536)
-                    n = len(found["t"])
-                    yield {"_id": np.full(n, doc), "_th": np.full(n, text_hash)} | found
+        for doc, text_hash, words in hashed_documents(batches, fold=False):
+            if len(words) >= WINDOW:
+                found = segments(gram_hashes(words, GRAM), frequent, doc % 65536)
+                n = len(found["t"])
+                yield {"_id": np.full(n, doc), "_th": np.full(n, text_hash)} | found
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from batched(runs(batches))
