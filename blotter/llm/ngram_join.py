@@ -59,8 +59,6 @@ MEETING = 512
 MEETING_TOKENS = 500_000
 # The incidence matrix is multiplied in this many columns at a time.
 COLUMNS = 8192
-# So many documents may be broadcast with the meetings they go to.
-BROADCAST_GUESTS = 50_000
 
 def shingles(words: np.ndarray, size: int = WORDS) -> np.ndarray:
     """The sorted 64-bit hashes of the distinct shingles, from the words' hashes."""
@@ -237,9 +235,7 @@ def links(docs: DataFrame, equal: DataFrame) -> DataFrame:
                         }
                     )
 
-    guests = keyed(docs).join(
-        small_enough(invited, BROADCAST_GUESTS), F.col("_id") == F.col("x")
-    ).select("_id", "_th", "_text", "at")
+    guests = keyed(docs).join(invited, F.col("_id") == F.col("x")).select("_id", "_th", "_text", "at")
     brought = guests.mapInArrow(bring, "leader long, i long, j long, x long, tokens binary")
     return brought.groupBy("leader", "i", "j").applyInArrow(_meet, "u long, v long")
 
