@@ -126,7 +126,9 @@ def encode_word(table: Column, word: Column) -> Column:
             F.coalesce(F.array_min(s["r"]), F.lit(NO_RANK)) == NO_RANK, s
         ).otherwise(_merge(table, s)),
     )
-    return F.transform(merged["p"], lambda piece: _rank(table, piece))
+    folded = F.transform(merged["p"], lambda piece: _rank(table, piece))
+    # A word that is a token as a whole needs no merging.
+    return _let(_rank(table, word), lambda r: F.when(r != NO_RANK, F.array(r)).otherwise(folded))
 
 
 def decode(ids: Column, pieces: Column) -> Column:

@@ -1,0 +1,73 @@
+from __future__ import annotations
+
+import itertools
+import zlib
+
+import numpy as np
+import pytest
+
+from blotter.llm import line_crf
+from tests.llm.conftest import ODD_ROWS, prose
+
+DATA = "/root/testdata/sf0.01"
+
+
+def test_marginals_equal_enumeration():
+    rng = np.random.default_rng(3)
+    sizes = np.array([1, 4, 2, 5])
+    unary, ties = rng.normal(size=12), rng.normal(size=(2, 2))
+    wanted, at = [], 0
+    for n in sizes:
+        total = np.zeros(n + 1)
+        for labels in itertools.product((0, 1), repeat=int(n)):
+            score = sum(unary[at + i] * y for i, y in enumerate(labels))
+            score += sum(ties[a, b] for a, b in zip(labels, labels[1:]))
+            total += np.exp(score) * np.array([*labels, 1])
+        wanted += list(total[:-1] / total[-1])
+        at += n
+    assert np.allclose(line_crf.marginals(unary, sizes, ties), wanted)
+
+
+def test_features_see_lines_and_neighbours():
+    lines, chars, sizes = line_crf.line_features(["AB cd.\n\n###", "", "é"])
+    assert sizes.tolist() == [3, 1, 1] and chars.tolist() == [6, 0, 3, 0, 1]
+    full = line_crf.with_neighbours(lines, sizes)
+    width = line_crf.FEATURES
+    assert lines.shape[1] == width
+    assert (full[2, width : 2 * width] == lines[1]).all()
+    assert not full[0, width : 2 * width].any() and not full[2, 2 * width : -1].any()
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
+    scores = {r.doc_id: r for r in line_crf.quality_scores(docs, labels).collect()}
+    assert len(scores) == docs.count()
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in scores.items())
+    unseen = [r for r in labels.collect() if scores[r.doc_id].held_out]
+    right = [scores[r.doc_id].predicted == r.quality for r in unseen]
+    assert len(unseen) > 50 and np.mean(right) > 0.95
+
+
+def test_held_out_labels_change_nothing(spark, documents):
+    rows = [(n, prose(60, n) if n % 3 else prose(60, n).upper().replace(" ", "!! ")) for n in range(120)]
+    docs = documents(*rows)
+    labels = [(n, int(n % 3 > 0)) for n in range(120)]
+    turned = [(n, 1 - q if zlib.crc32(str(n).encode()) % 5 == 0 else q) for n, q in labels]
+    scores = [
+        sorted(tuple(r) for r in line_crf.quality_scores(
+            docs, spark.createDataFrame(given, "doc_id long, quality int")
+        ).collect())
+        for given in (labels, turned)
+    ]
+    assert scores[0] == scores[1]
+    assert all(r[3] == int(r[0] % 3 > 0) for r in scores[0])
+
+
+@pytest.mark.parametrize("given", [[], [(4, 1), (4, 0), (None, 1), (6, None), (7, 0), (8, 1), (99, 1)]])
+def test_odd_rows(spark, documents, given):
+    docs = documents(*ODD_ROWS, (20, "line\n" * 30000))
+    labels = spark.createDataFrame(given, "doc_id long, quality int")
+    rows = line_crf.quality_scores(docs, labels).collect()
+    assert len(rows) == len(ODD_ROWS) + 1
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in rows)
+    assert line_crf.quality_scores(docs.limit(0), labels).collect() == []
