@@ -32,9 +32,14 @@ class Config:
     """Everything a run may vary. The defaults are the reference business rules."""
 
     # Folder of the lake. On a cluster this is shared storage (object store or HDFS).
-    root: str = "./lake"
-    # Any Spark table format on the classpath: parquet, orc, delta ...
+    root: str
+    # A file format with columns: parquet or orc.
     table_format: str = "parquet"
+    # With a table name, Bronze is a catalog table bucketed by trade_id instead of a folder: inserting
+    # then shuffles the arriving trades into its buckets and leaves Bronze where it is. Spark does so
+    # if there are at least as many buckets as shuffle partitions.
+    bronze_table: str | None = None
+    bronze_buckets: int = 1024
     # With a database the marts are catalog tables; without one they live under root.
     gold_database: str | None = None
 
@@ -44,10 +49,12 @@ class Config:
     velocity_window_minutes: int = 60
     fx_rates: Mapping[str, Decimal] = field(default_factory=lambda: FX_RATES_TO_EUR)
 
-    # A trader-hour with more rows than this is cut into time-ordered segments ...
+    # A trader-hour with more rows than this is cut into time-ordered segments of about this size.
     segment_rows: int = 1_000_000
-    # ... of which there are about this many at most over the whole data set.
-    max_segments: int = 65_536
+    # Every so many sampled rows become a cut, which evens out the segments.
+    samples_per_cut: int = 8
+    # A row finds its segment in two steps: its block of this many cuts, then its cut within.
+    cuts_per_block: int = 128
 
     # Range-cluster Silver by trader and instrument within a date. It costs a sampling pass over
     # the finished rows; without it Spark only balances the files of each date.
@@ -55,8 +62,6 @@ class Config:
 
     # Shuffle partitions are sized so that each holds about this many bytes.
     partition_bytes: int = 128 * 1024 * 1024
-    # A mart up to this many rows is exported as one CSV part, a larger one as several.
-    single_csv_rows: int = 1_000_000
 
     @property
     def bronze_path(self) -> str:

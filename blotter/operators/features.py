@@ -13,24 +13,35 @@ TRADER_HOUR = ("trader_id", "trade_date", "trade_hour")
 TIME_ORDER = ("trade_timestamp", "trade_id")
 
 
-def fx_table(spark: SparkSession, cfg: Config) -> DataFrame:
-    """The configured rates as a dimension (instrument, rate), to be broadcast.
+# A rate table of at most this many rows may be broadcast.
+BROADCAST_RATES = 10_000
 
-    It has one row per configured rate, and Spark sees that: the rows are literals of the plan.
-    """
+
+def fx_table(spark: SparkSession, cfg: Config) -> DataFrame:
+    """The configured rates as a dimension (instrument, rate), broadcast if they are few."""
     rows = [
         F.struct(F.lit(name).alias("instrument"), F.lit(rate).cast(money.RATE).alias("rate"))
         for name, rate in cfg.fx_rates.items()
     ]
-    return F.broadcast(spark.range(1).select(F.inline(F.array(*rows))))
+    table = spark.range(1).select(F.inline(F.array(*rows)))
+    return F.broadcast(table) if len(rows) <= BROADCAST_RATES else table
 
 
 def convert_with(trades: DataFrame, rates: DataFrame) -> DataFrame:
     """Add `notional_eur` from a rate table (instrument, rate); a missing rate counts as 1.
 
-    Not hinted: a rate table's size is the caller's business, Spark broadcasts a small one.
+    Instruments are compared in upper case. Two rates for one instrument are an error, raised when
+    the rates are read; they would count every trade twice. Spark broadcasts a small table.
     """
-    keyed = rates.select(F.upper("instrument").alias("_fx_key"), F.col("rate").alias("_fx_rate"))
+    once = F.when(F.count(F.lit(1)) == 1, F.max("rate")).otherwise(
+        F.raise_error(F.concat(F.lit("more than one rate for "), F.col("_fx_key"))).cast(money.RATE)
+    )
+    keyed = (
+        rates.where(F.col("instrument").isNotNull())
+        .select(F.upper("instrument").alias("_fx_key"), "rate")
+        .groupBy("_fx_key")
+        .agg(once.alias("_fx_rate"))
+    )
     joined = trades.join(keyed, F.upper("instrument") == F.col("_fx_key"), "left")
     eur = money.in_eur(F.col("notional"), F.col("_fx_rate"))
     return joined.withColumn(
@@ -61,45 +72,15 @@ def add_trade_features(
     )
 
 
-def add_activity(trades: DataFrame, cfg: Config, n_rows: int | None = None) -> DataFrame:
+def add_activity(trades: DataFrame, cfg: Config) -> DataFrame:
     """Add trades_in_hour, velocity_flag and trader_daily_notional_run.
 
-    `n_rows` is the number of trades or a bound above it, such as the rows of the source table.
-    When even all of them are no more than one segment, no trader can overload a task and
-    windows over whole trader-days will do. Otherwise, or when the number is not known, busy
-    trader-hours are cut into segments.
-    """
-    small = n_rows is not None and n_rows <= cfg.segment_rows
-    counted = _in_whole_days(trades) if small else _in_segments(trades, cfg, n_rows)
-    return counted.withColumns(
-        {
-            "trades_in_hour": F.col("_in_hour").cast("int"),
-            "velocity_flag": F.col("_in_hour") > cfg.velocity_max_trades,
-            "trader_daily_notional_run": F.col("_run").try_cast(money.RUNNING),
-        }
-    ).drop("_in_hour", "_run")
-
-
-def _in_whole_days(trades: DataFrame) -> DataFrame:
-    """Hour counts and running totals from windows: one shuffle, by trader and date."""
-    day = Window.partitionBy("trader_id", "trade_date").orderBy(*TIME_ORDER)
-    up_to_row = day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hour = Window.partitionBy(*TRADER_HOUR)
-    return trades.select(
-        "*",
-        F.sum("notional_eur").over(up_to_row).alias("_run"),
-        F.count("trade_id").over(hour).alias("_in_hour"),
-    )
-
-
-def _in_segments(trades: DataFrame, cfg: Config, n_rows: int | None) -> DataFrame:
-    """The same from segments, none of which is more than a task can hold.
-
-    The wide rows are shuffled once, by trader, date, hour and segment. What spans several
-    tasks (the count of an hour, the running total up to a segment) comes from sums per
-    segment, which are combined before their own, small shuffle.
+    A busy trader-hour is cut into segments, none of which is more than a task can hold. The
+    wide rows meet in windows by trader, date, hour and segment; what spans several tasks (the
+    count of an hour, the running total up to a segment) comes from sums per segment, which are
+    combined before their own, small shuffle.
     """
-    rows = assign_segments(trades, TRADER_HOUR, TIME_ORDER, cfg, n_rows)
+    rows = assign_segments(trades, TRADER_HOUR, TIME_ORDER, cfg)
     segment = (*TRADER_HOUR, SEGMENT)
 
     sums = rows.groupBy(*segment).agg(
@@ -124,7 +105,13 @@ def _in_segments(trades: DataFrame, cfg: Config, n_rows: int | None) -> DataFram
     inside = rows.withColumn("_inside", F.sum("notional_eur").over(up_to_row))
     joined = inside.join(per_segment, list(segment), "left")
     run = F.coalesce(F.col("_before") + F.col("_inside"), F.col("_inside"), F.col("_before"))
-    return joined.withColumn("_run", run).drop(SEGMENT, "_before", "_inside")
+    return joined.withColumns(
+        {
+            "trades_in_hour": F.col("_in_hour").cast("int"),
+            "velocity_flag": F.col("_in_hour") > cfg.velocity_max_trades,
+            "trader_daily_notional_run": run.try_cast(money.RUNNING),
+        }
+    ).drop(SEGMENT, "_before", "_inside", "_in_hour")
 
 
 def add_alerts(trades: DataFrame) -> DataFrame:
@@ -132,11 +119,6 @@ def add_alerts(trades: DataFrame) -> DataFrame:
     return trades.withColumn("alert_level", level)
 
 
-def engineer(
-    trades: DataFrame,
-    cfg: Config,
-    rates: DataFrame | None = None,
-    n_rows: int | None = None,
-) -> DataFrame:
+def engineer(trades: DataFrame, cfg: Config, rates: DataFrame | None = None) -> DataFrame:
     """All derived Silver columns."""
-    return add_alerts(add_activity(add_trade_features(trades, cfg, rates), cfg, n_rows))
+    return add_alerts(add_activity(add_trade_features(trades, cfg, rates), cfg))

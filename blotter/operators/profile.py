@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,18 +50,34 @@ def silver_summary(trades: DataFrame) -> DataFrame:
     )
 
 
-def row_count(df: DataFrame, layer: str) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(layer).alias("layer"), "n_rows")
+def _as_rows(counts: DataFrame) -> DataFrame:
+    """One row with a count per column to one row (layer, n_rows) per count."""
+    pairs = ", ".join(f"'{name}', `{name}`" for name in counts.columns)
+    return counts.selectExpr(f"stack({len(counts.columns)}, {pairs}) AS (layer, n_rows)")
+
+
+def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The rows (layer, n_rows) of tables that exist."""
+    one_each = [
+        df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(layer).alias("layer"), "n_rows")
+        for layer, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, one_each)
+
+
+def cube_counts(cube: DataFrame, grains: Mapping[str, Sequence[str]]) -> DataFrame:
+    """The rows (layer, n_rows) Silver has and the marts will have, from the cube alone."""
+    return _as_rows(
+        cube.agg(
+            F.coalesce(F.sum("trades"), F.lit(0)).alias("silver"),
+            *[F.count_distinct(F.struct(*grain)).alias(mart) for mart, grain in grains.items()],
+        )
+    )
 
 
-def reconciliation(intake: DataFrame, silver: DataFrame, gold: dict[str, DataFrame]) -> DataFrame:
+def reconciliation(intake: DataFrame, counts: DataFrame) -> DataFrame:
     """Rows per layer, with the rows that Silver left out by their reason.
 
-    `intake` is the one-row result of `cleaning.intake`.
+    `intake` is the one-row result of `cleaning.intake`, `counts` comes from one of the two above.
     """
-    reasons = intake.columns
-    pairs = ", ".join(f"'{name}', `{name}`" for name in reasons)
-    report = intake.selectExpr(f"stack({len(reasons)}, {pairs}) AS (layer, n_rows)")
-    for layer, df in {"silver": silver, **gold}.items():
-        report = report.unionByName(row_count(df, layer))
-    return report
+    return _as_rows(intake).unionByName(counts)

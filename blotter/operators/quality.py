@@ -1,14 +1,15 @@
 """Data-quality rules, declared per table and evaluated with few passes.
 
-All null, value and sign rules of a table share one aggregate. A uniqueness rule is a
-grouped count of its key. A rule reports its number of failing rows, zero included.
+All null, value and sign rules of a table share one aggregate, and all its uniqueness rules one
+grouped count of keys. A rule reports its number of failing rows, zero included.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -134,36 +135,81 @@ def repeated_keys(df: DataFrame, rule: Rule) -> DataFrame:
     )
 
 
-def _report(counts: DataFrame, checked: list[Rule]) -> DataFrame:
-    """Turn one row with a count per rule into one row per rule."""
+def _report(counts: DataFrame, places: Mapping[Rule, int]) -> DataFrame:
+    """Turn one row with counts `_0`, `_1` ... into one row per rule."""
     lines = [
         F.struct(
             F.lit(rule.name).alias("rule"),
             F.lit(rule.blocking).alias("blocking"),
-            F.col(f"_{i}").alias("failing_rows"),
+            F.col(f"_{place}").alias("failing_rows"),
         )
-        for i, rule in enumerate(checked)
+        for rule, place in places.items()
     ]
     return counts.select(F.inline(F.array(*lines)))
 
 
+def _repeated_counts(df: DataFrame, keys: Sequence[tuple[str, ...]]) -> DataFrame:
+    """One row: how many values each key has more than once, from one pass over the rows."""
+    if len(keys) == 1:
+        values = df.dropna(subset=list(keys[0])).groupBy(*keys[0])
+        return values.agg(F.count(F.lit(1)).alias("n")).agg(F.count_if(F.col("n") > 1).alias("_0"))
+    entries = [
+        F.when(
+            reduce(and_, [F.col(name).isNotNull() for name in key]),
+            F.struct(
+                F.lit(place).alias("key"),
+                F.array(*[F.col(name).cast("string") for name in key]).alias("value"),
+            ),
+        )
+        for place, key in enumerate(keys)
+    ]
+    counted = (
+        df.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
+        .groupBy("e.key", "e.value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    return counted.agg(
+        *[
+            F.count_if((F.col("key") == place) & (F.col("n") > 1)).alias(f"_{place}")
+            for place in range(len(keys))
+        ]
+    )
+
+
+# A table whose rows are those of another table, which has all its columns too.
+SAME_ROWS = {"stg_trades": "int_trade_enriched"}
+
+
 def run_suite(
-    tables: Mapping[str, DataFrame], kinds: Iterable[str] | None = None
+    tables: Mapping[str, DataFrame],
+    kinds: Iterable[str] | None = None,
+    same_rows: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """One row (rule, blocking, failing_rows) per declared rule about the given tables."""
-    reports = []
-    for table, df in tables.items():
+    """One row (rule, blocking, failing_rows) per declared rule about the given tables.
+
+    A table is read at most twice: once for all rules about single rows, once for all its keys.
+    With `same_rows`, the rules of a table are evaluated on the other, equal one; a key both
+    declare unique is counted once.
+    """
+    by_table: dict[str, list[Rule]] = {}
+    for table in tables:
+        read = (same_rows or {}).get(table, table)
         own = [rule for rule in rules(kinds) if rule.table == table]
+        by_table.setdefault(read if read in tables else table, []).extend(own)
+    reports = []
+    for table, own in by_table.items():
+        df = tables[table]
         row_rules = [rule for rule in own if rule.kind != "unique"]
         if row_rules:
             counts = df.agg(
                 *[F.count_if(rule.broken()).alias(f"_{i}") for i, rule in enumerate(row_rules)]
             )
-            reports.append(_report(counts, row_rules))
-        for rule in own:
-            if rule.kind == "unique":
-                counts = repeated_keys(df, rule).agg(F.count(F.lit(1)).alias("_0"))
-                reports.append(_report(counts, [rule]))
+            reports.append(_report(counts, {rule: i for i, rule in enumerate(row_rules)}))
+        unique = [rule for rule in own if rule.kind == "unique"]
+        if unique:
+            keys = list(dict.fromkeys(rule.columns for rule in unique))
+            counts = _repeated_counts(df, keys)
+            reports.append(_report(counts, {rule: keys.index(rule.columns) for rule in unique}))
     return reduce(DataFrame.unionByName, reports)
 
 

@@ -17,84 +17,58 @@ from blotter.config import Config
 
 SEGMENT = "_segment"
 
-# Every 8th sampled row becomes a cut, which evens out the segment sizes.
-SAMPLES_PER_CUT = 8
-# A row finds its segment in two steps: its block of this many cuts, then its cut within.
-CUTS_PER_BLOCK = 128
-
 
 def cut_points(
-    rows: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    cfg: Config,
-    n_rows: int | None = None,
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], cfg: Config
 ) -> DataFrame:
     """Cut points per group, numbered 1, 2, ... along the order.
 
-    Rows are sampled by hash, one in `segment_rows / 8`, or fewer when that would give more
-    than `max_segments` cuts in total. A group far below `segment_rows` gets no cut, and the
-    result holds about `max_segments` rows at most however large the data are. `n_rows` is the
-    number of rows or a bound above it; without it the rows are counted.
+    Rows are sampled by hash, one in `segment_rows / samples_per_cut` at any size, so a segment
+    never outgrows a task. A group far below `segment_rows` gets no cut.
     """
-    known = n_rows is not None
-    total = F.lit(n_rows) if known else rows.select(F.count(F.lit(1))).scalar()
-    one_in = F.greatest(
-        F.lit(max(1, cfg.segment_rows // SAMPLES_PER_CUT)).cast("bigint"),
-        F.ceil(total / F.lit(cfg.max_segments * SAMPLES_PER_CUT)).cast("bigint"),
-    )
+    one_in = max(1, cfg.segment_rows // cfg.samples_per_cut)
     # Equal rows are sampled together; distinct() leaves one of them.
     sample = (
-        rows.where(F.pmod(F.xxhash64(*order), one_in) == 0).select(*keys, *order).distinct()
+        rows.where(F.pmod(F.xxhash64(*order), F.lit(one_in)) == 0).select(*keys, *order).distinct()
     )
     along = Window.partitionBy(*keys).orderBy(*order)
     numbered = sample.withColumn("_n", F.row_number().over(along))
-    return numbered.where(F.col("_n") % SAMPLES_PER_CUT == 0).select(
+    return numbered.where(F.col("_n") % cfg.samples_per_cut == 0).select(
         *keys,
         F.struct(*order).alias("_from"),
-        F.expr(f"CAST(_n DIV {SAMPLES_PER_CUT} AS INT)").alias(SEGMENT),
+        F.expr(f"CAST(_n DIV {cfg.samples_per_cut} AS INT)").alias(SEGMENT),
     )
 
 
-def assign_segments(
-    rows: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    cfg: Config,
-    n_rows: int | None = None,
-) -> DataFrame:
-    """Add `_segment`: 0 in a group without cuts, else the number of cuts at or before the row."""
-    block = F.expr(f"CAST({SEGMENT} DIV {CUTS_PER_BLOCK} AS INT)")
-    along = Window.partitionBy(*keys).orderBy(SEGMENT)
-    cuts = cut_points(rows, keys, order, cfg, n_rows).withColumns(
-        {"_block": block, "_until": F.lead("_from").over(along)}
-    )
-    blocks = cuts.where(F.col(SEGMENT) % CUTS_PER_BLOCK == 0).select(
-        *keys, "_from", F.lead("_from").over(along).alias("_until"), "_block"
+def _cuts_by_group(cuts: DataFrame, keys: Sequence[str], cfg: Config) -> DataFrame:
+    """One row per group with cuts: its blocks in order, each with its cuts in order."""
+    block = F.expr(f"({SEGMENT} - 1) DIV {cfg.cuts_per_block}")
+    blocks = cuts.groupBy(*keys, block.alias("_block")).agg(
+        F.min("_from").alias("head"), F.array_sort(F.collect_list("_from")).alias("cuts")
     )
-    in_block = _locate(rows, blocks, keys, order, "_block")
-    return _locate(in_block, cuts, [*keys, "_block"], order, SEGMENT).drop("_block")
+    inside = F.array_sort(F.collect_list(F.struct("head", "cuts")))
+    return blocks.groupBy(*keys).agg(inside.alias("_blocks"))
 
 
-def _locate(
-    rows: DataFrame, intervals: DataFrame, keys: Sequence[str], order: Sequence[str], result: str
+def assign_segments(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], cfg: Config
 ) -> DataFrame:
-    """Add the number of the interval a row falls in, 0 before the first one.
+    """Add `_segment`: 0 in a group without cuts, else the number of cuts at or before the row.
 
-    The intervals come from `cut_points`, whose size is bounded by `max_segments`: broadcasting
-    them is safe at any data size.
+    The groups with cuts, which are few, join by their keys. Nothing is hinted: Spark broadcasts
+    them while they are small, and otherwise shuffles and splits the hot groups.
     """
-    place = F.struct(*[F.col(f"r.{name}") for name in order])
-    same_group: Column = F.lit(True)
-    for name in keys:
-        same_group = same_group & (F.col(f"r.{name}") == F.col(f"i.{name}"))
-    inside = (place >= F.col("i._from")) & (
-        F.col("i._until").isNull() | (place < F.col("i._until"))
-    )
-    kept = [F.col(f"r.{name}") for name in rows.columns]
-    found = F.coalesce(F.col(f"i.{result}"), F.lit(0)).alias(result)
-    return (
-        rows.alias("r")
-        .join(F.broadcast(intervals).alias("i"), same_group & inside, "left")
-        .select(*kept, found)
+    groups = _cuts_by_group(cut_points(rows, keys, order, cfg), keys, cfg)
+    place = F.struct(*order)
+
+    def up_to(items: Column, start) -> Column:
+        return F.size(F.filter(items, lambda item: start(item) <= place))
+
+    n_blocks = up_to(F.col("_blocks"), lambda block: block["head"])
+    in_block = up_to(F.get("_blocks", n_blocks - 1)["cuts"], lambda cut: cut)
+    segment = (
+        F.when(F.col("_blocks").isNull() | (n_blocks == 0), F.lit(0))
+        .otherwise((n_blocks - 1) * cfg.cuts_per_block + in_block)
     )
+    joined = rows.join(groups, list(keys), "left")
+    return joined.select(*[F.col(name) for name in rows.columns], segment.alias(SEGMENT))

@@ -33,6 +33,7 @@ TRADER_PREFIX = "TDR_"
 # Columns a parsed landing line brings along besides the twelve fields.
 RAW, MALFORMED, NOT_TEXT = "_raw", "_malformed", "_not_text"
 VALID, ERRORS = "_valid", "_errors"
+LOAD = "_load_id"
 
 
 def _field_rules() -> list[tuple[Column, str]]:
@@ -82,8 +83,8 @@ def valid(checked: DataFrame) -> DataFrame:
 
 
 def quarantined(checked: DataFrame) -> DataFrame:
-    """The rejected records with every reason in `_error`, and the raw line if there is one."""
-    raw = [RAW] if RAW in checked.columns else []
+    """The rejected records with every reason in `_error`, and the raw line and load if there are."""
+    raw = [name for name in (LOAD, RAW) if name in checked.columns]
     reasons = F.array_join(ERRORS, "; ").alias("_error")
     return checked.where(~F.col(VALID)).select(*raw, *FIELDS, reasons)
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blotter.config import Config
 from blotter.functions import clock, money, risk
 from blotter.operators.cleaning import drop_cancelled
+from blotter.operators.ranking import PART_ROWS, descending, with_rank
 from blotter.plans.silver import conform
 
 
@@ -168,7 +169,7 @@ def risk_exposure(cube: DataFrame, cfg: Config) -> DataFrame:
     )
 
 
-def top_instruments(cube: DataFrame) -> DataFrame:
+def top_instruments(cube: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
     """Volume, activity, shares and ranks per instrument and desk."""
     totals = cube.groupBy("instrument", "desk").agg(
         _count("trades", "trade_count"),
@@ -191,17 +192,16 @@ def top_instruments(cube: DataFrame) -> DataFrame:
     )
     col = F.col
     volume = col("total_volume_eur")
-    # One row per instrument and desk: a window over all of them is a small one.
-    market = Window.partitionBy()
-    return totals.select(
+    whole_market = totals.select(F.sum(volume)).scalar()
+    shares = totals.select(
         "*",
         money.percent(col("anomaly_count"), col("trade_count")).alias("anomaly_rate_pct"),
         money.percent(col("large_trade_count"), col("trade_count")).alias("large_trade_rate_pct"),
         money.percent(col("buy_volume_eur"), volume).alias("buy_volume_pct"),
-        money.percent(volume, F.sum(volume).over(market)).alias("volume_share_pct"),
-        F.rank().over(Window.orderBy(volume.desc())).alias("volume_rank"),
-        F.rank().over(Window.orderBy(col("anomaly_count").desc())).alias("anomaly_rank"),
+        money.percent(volume, whole_market).alias("volume_share_pct"),
     )
+    by_volume = with_rank(shares, descending(volume), "volume_rank", part_rows)
+    return with_rank(by_volume, descending(col("anomaly_count")), "anomaly_rank", part_rows)
 
 
 # ---- reading order and previews -----------------------------------------------------------
@@ -223,6 +223,23 @@ def in_reading_order(mart: DataFrame, name: str) -> DataFrame:
     return mart.orderBy(*READING_ORDER[name]())
 
 
+# The same orders as ascending keys, for a position that is stored with the row.
+READING_KEY = {
+    "mart_daily_volume": lambda: F.struct(
+        -F.unix_date("trade_date"), descending(F.col("total_notional_eur")), "desk", "instrument", "region",
+    ),
+    "mart_risk_exposure": lambda: F.struct(
+        descending(F.abs("net_exposure_eur")), "trader_id", "desk", "region"
+    ),
+    "mart_top_instruments": lambda: F.struct("volume_rank", "instrument", "desk"),
+}
+
+
+def with_position(mart: DataFrame, name: str, part_rows: int = PART_ROWS) -> DataFrame:
+    """Add each row's place in reading order, from 1 on."""
+    return with_rank(mart, READING_KEY[name](), "position", part_rows)
+
+
 def latest_days(daily: DataFrame, n: int = 5) -> DataFrame:
     return in_reading_order(daily, "mart_daily_volume").limit(n)
 
@@ -242,5 +259,12 @@ def instrument_ranking(instruments: DataFrame) -> DataFrame:
 MARTS = {
     "mart_daily_volume": lambda cube, cfg: daily_volume(cube),
     "mart_risk_exposure": risk_exposure,
-    "mart_top_instruments": lambda cube, cfg: top_instruments(cube),
+    "mart_top_instruments": lambda cube, cfg: top_instruments(cube, cfg.segment_rows),
+}
+
+# The columns that tell the rows of a mart apart.
+GRAINS = {
+    "mart_daily_volume": ("trade_date", "desk", "instrument", "region"),
+    "mart_risk_exposure": ("trader_id", "desk", "region"),
+    "mart_top_instruments": ("instrument", "desk"),
 }

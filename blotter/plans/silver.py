@@ -41,19 +41,14 @@ SILVER_SCHEMA = {
 }
 
 
+SILVER_DDL = ", ".join(f"{name} {kind}" for name, kind in SILVER_SCHEMA.items())
+
+
 def conform(featured: DataFrame) -> DataFrame:
     """Exactly the Silver columns, in order and with their types."""
     return featured.select(*[F.col(name).cast(kind) for name, kind in SILVER_SCHEMA.items()])
 
 
-def silver(
-    bronze: DataFrame,
-    cfg: Config,
-    rates: DataFrame | None = None,
-    n_rows: int | None = None,
-) -> DataFrame:
-    """The Silver table of a Bronze table (the twelve raw fields and two lineage columns).
-
-    `n_rows`, if known, is the number of Bronze rows; see `features.add_activity`.
-    """
-    return conform(engineer(drop_cancelled(clean(bronze)), cfg, rates, n_rows))
+def silver(bronze: DataFrame, cfg: Config, rates: DataFrame | None = None) -> DataFrame:
+    """The Silver table of a Bronze table (the twelve raw fields and two lineage columns)."""
+    return conform(engineer(drop_cancelled(clean(bronze)), cfg, rates))

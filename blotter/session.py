@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 # Settings the transforms rely on, for results first and then for speed.
@@ -36,19 +39,18 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-# More partitions than this cost the driver more in bookkeeping than they save the tasks.
-MOST_PARTITIONS = 65_536
-
-
-def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int) -> int:
-    """Raise the shuffle partition count until one partition holds about `partition_bytes`.
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int) -> Iterator[int]:
+    """For one job, enough shuffle partitions that each holds about `partition_bytes`.
 
     Adaptive execution merges partitions that turn out small but cannot split a plain
-    shuffle that was given too few, so the count is only ever raised.
+    shuffle that was given too few, so the count is only ever raised. Afterwards the session
+    has the count it had before.
     """
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(-(-input_bytes // partition_bytes), MOST_PARTITIONS)
-    if wanted <= current:
-        return current
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    wanted = max(int(before), -(-input_bytes // partition_bytes))
     spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return wanted
+    try:
+        yield wanted
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
-from collections.abc import Iterator
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.config import Config
+from blotter.operators.validate import LOAD
 from blotter.sources import files
 
 # Rows of one day that lie close together: file and row-group statistics then skip on traders
@@ -18,15 +19,18 @@ SILVER_LAYOUT = ("trade_date", "trader_id", "instrument", "trade_timestamp", "tr
 
 
 @contextmanager
-def counting(df: DataFrame) -> Iterator[tuple[DataFrame, dict]]:
-    """Count the rows of a write while it runs.
+def counting(
+    df: DataFrame, more: Mapping[str, Column] | None = None
+) -> Iterator[tuple[DataFrame, dict]]:
+    """Count the rows of a write, and compute other aggregates of them, while it runs.
 
     The counter sits on top of the plan, in the stage that writes, so no other job over the
     same plan (a sampling pass, a second branch) runs through it.
     """
     observation = Observation(f"rows_{uuid4().hex}")
     counts: dict = {}
-    yield df.observe(observation, F.count(F.lit(1)).alias("rows")), counts
+    wanted = {"rows": F.count(F.lit(1))} | dict(more or {})
+    yield df.observe(observation, *[value.alias(name) for name, value in wanted.items()]), counts
     counts.update(observation.get)
 
 
@@ -36,25 +40,54 @@ def append(df: DataFrame, path: str, cfg: Config) -> int:
     return counts["rows"]
 
 
-def overwrite(df: DataFrame, path: str, cfg: Config) -> int:
+def append_bronze(df: DataFrame, cfg: Config) -> int:
+    """Append to Bronze: its folder, or its catalog table bucketed by trade_id."""
+    if cfg.bronze_table is None:
+        return append(df, cfg.bronze_path, cfg)
     with counting(df) as (counted, counts):
-        counted.write.format(cfg.table_format).mode("overwrite").save(path)
+        (
+            counted.write.format(cfg.table_format)
+            .mode("append")
+            .bucketBy(cfg.bronze_buckets, "trade_id")
+            .sortBy("trade_id")
+            .saveAsTable(cfg.bronze_table)
+        )
+    return counts["rows"]
+
+
+def overwrite(df: DataFrame, path: str, cfg: Config, partition_by: Sequence[str] = ()) -> int:
+    """Replace a table. The new one is written beside it and moved into place when it is whole."""
+    beside = f"{path.rstrip('/')}.{uuid4().hex}"
+    spark = df.sparkSession
+    try:
+        with counting(df) as (counted, counts):
+            counted.write.format(cfg.table_format).partitionBy(*partition_by).save(beside)
+    except BaseException:
+        files.delete(spark, beside)
+        raise
+    files.replace(spark, beside, path)
     return counts["rows"]
 
 
-def write_load(df: DataFrame, path: str, load_id: str, cfg: Config) -> int:
-    """Write the rows of one load as its own partition; writing a load again replaces it."""
-    with counting(df.withColumn("_load_id", F.lit(load_id))) as (counted, counts):
+def write_loads(df: DataFrame, path: str, cfg: Config) -> int:
+    """Write the rows of some loads, each its own partition; writing a load again replaces it."""
+    with counting(df) as (counted, counts):
         (
             counted.write.format(cfg.table_format)
             .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("_load_id")
+            .partitionBy(LOAD)
             .save(path)
         )
     return counts["rows"]
 
 
+def clear_loads(spark: SparkSession, path: str, load_ids: Iterable[str]) -> None:
+    """Remove what earlier runs of these loads have written."""
+    for load_id in load_ids:
+        files.delete(spark, f"{path}/{LOAD}={load_id}")
+
+
 def write_silver(df: DataFrame, path: str, cfg: Config) -> int:
     """Replace Silver: partitioned by date, sorted by trader and instrument within a file.
 
@@ -65,29 +98,39 @@ def write_silver(df: DataFrame, path: str, cfg: Config) -> int:
         placed = df.repartitionByRange(*SILVER_LAYOUT)
     else:
         placed = df.hint("rebalance", "trade_date")
-    with counting(placed.sortWithinPartitions(*SILVER_LAYOUT)) as (counted, counts):
-        (
-            counted.write.format(cfg.table_format)
-            .mode("overwrite")
-            .option("overwriteSchema", "true")
-            .partitionBy("trade_date")
-            .save(path)
-        )
-    return counts["rows"]
+    return overwrite(placed.sortWithinPartitions(*SILVER_LAYOUT), path, cfg, ["trade_date"])
 
 
 def write_gold(df: DataFrame, table: str, cfg: Config) -> int:
-    """Replace a mart, in the catalog or under the lake's root."""
+    """Replace a mart, in the catalog or under the lake's root, once the new one is whole."""
     if not cfg.gold_database:
         return overwrite(df, cfg.gold_path(table), cfg)
-    df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {cfg.gold_database}")
+    spark = df.sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {cfg.gold_database}")
+    name = f"{cfg.gold_database}.{table}"
+    beside = f"{name}__{uuid4().hex}"
     with counting(df) as (counted, counts):
-        counted.write.format(cfg.table_format).mode("overwrite").saveAsTable(
-            f"{cfg.gold_database}.{table}"
-        )
+        counted.write.format(cfg.table_format).saveAsTable(beside)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {beside} RENAME TO {name}")
     return counts["rows"]
 
 
+def register_path(
+    spark: SparkSession, path: str, database: str, table: str, schema: str, cfg: Config
+) -> str:
+    """Make a table that lies in a folder, partitioned by date, known to the catalog."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    name = f"{database}.{table}"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(
+        f"CREATE TABLE {name} ({schema}) USING {cfg.table_format} "
+        f"PARTITIONED BY (trade_date) LOCATION '{path}'"
+    )
+    spark.catalog.recoverPartitions(name)
+    return name
+
+
 def register(df: DataFrame, database: str, table: str, cfg: Config) -> str:
     """Save a DataFrame as a managed catalog table."""
     df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
@@ -108,15 +151,19 @@ def _shared_folder(spark: SparkSession, cfg: Config) -> str:
 
 
 @contextmanager
-def staged(df: DataFrame, cfg: Config) -> Iterator[DataFrame]:
+def staged(
+    df: DataFrame, cfg: Config, counts: Mapping[str, Column] | None = None
+) -> Iterator[tuple[DataFrame, dict]]:
     """Write a DataFrame once to shared storage for several readers, and remove it afterwards.
 
-    Unlike a cache it survives lost executors, and readers load only the columns they need.
+    Unlike a cache it survives lost executors, and readers load only the columns they need. What
+    the write counted comes with it.
     """
     spark = df.sparkSession
     path = f"{_shared_folder(spark, cfg)}/blotter/{uuid4().hex}"
     try:
-        df.write.parquet(path)
-        yield spark.read.parquet(path)
+        with counting(df, counts) as (counted, found):
+            counted.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path), found
     finally:
         files.delete(spark, path)

@@ -47,16 +47,19 @@ def _not_text(line: Column, name: str, value: Column) -> Column:
 def parse(lines: DataFrame) -> DataFrame:
     """Lines (`value`) to records: the twelve fields as text, and what was wrong with the line.
 
-    Blank lines are skipped. A line that is not exactly one JSON object is marked malformed.
+    Blank lines are skipped. A line that is not exactly one JSON object is marked malformed. Other
+    columns of the lines, such as their load, stay beside the record.
     """
     line = F.col("value")
+    others = [name for name in lines.columns if name != "value"]
     parsed = lines.where(F.trim(line) != "").select(
-        line.alias(RAW), F.from_json(line, _SCHEMA, _OPTIONS).alias("j")
+        *others, line.alias(RAW), F.from_json(line, _SCHEMA, _OPTIONS).alias("j")
     )
     raw = F.col(RAW)
     broken = F.col("j").isNull() | F.col(f"j.{_CORRUPT}").isNotNull() | ~_is_one_object(raw)
     wrong_type = [_not_text(raw, name, F.col(f"j.{name}")) for name in TEXT_FIELDS]
     return parsed.select(
+        *others,
         RAW,
         *[F.col(f"j.{name}").alias(name) for name in FIELDS],
         broken.alias(MALFORMED),

@@ -8,7 +8,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from blotter.config import Config
-from blotter.sources import files
 
 # What the marts need of Silver.
 SILVER_REQUIRED = (
@@ -16,8 +15,11 @@ SILVER_REQUIRED = (
     "trade_date", "risk_tier", "velocity_flag", "alert_level", "is_anomaly",
 )
 
-def read_table(spark: SparkSession, path: str, cfg: Config) -> DataFrame:
-    return spark.read.format(cfg.table_format).load(path)
+
+def read_table(spark: SparkSession, path: str, cfg: Config, schema: str | None = None) -> DataFrame:
+    """A table by its folder. With a declared schema it is not inferred, and may have no rows yet."""
+    reader = spark.read.format(cfg.table_format)
+    return (reader.schema(schema) if schema else reader).load(path)
 
 
 def read_path_sql(spark: SparkSession, path: str, cfg: Config) -> DataFrame:
@@ -27,12 +29,10 @@ def read_path_sql(spark: SparkSession, path: str, cfg: Config) -> DataFrame:
 
 def table_exists(spark: SparkSession, path: str, cfg: Config) -> bool:
     """Whether a table was written at the path. A folder without data files holds none."""
-    if not files.exists(spark, path):
-        return False
     try:
         read_table(spark, path, cfg).schema
     except AnalysisException as error:
-        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return False
         raise
     return True

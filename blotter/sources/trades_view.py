@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from blotter.config import INSTRUMENTS
-from blotter.functions.money import AMOUNT, PRICE
+from blotter.functions.money import AMOUNT, PRICE, RATE
 from blotter.operators.validate import FIELDS
 
 # The desk of an instrument; the rest are commodities.
@@ -28,20 +29,17 @@ FAULTS = (
 )
 
 
-_schemas: dict[str, StructType] = {}
+# The columns of the test tables that are used. Declared, they need no job to infer.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "nation": "n_nationkey int, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table. Its schema is inferred once per path: each inference is a Spark job."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
-
-
-def n_trades(spark: SparkSession, sf_dir: str) -> int:
-    """A bound on the number of trades, from the file footers of the events."""
-    return _table(spark, sf_dir, "events").count()
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def trades(spark: SparkSession, sf_dir: str, keep_event_id: bool = False) -> DataFrame:
@@ -102,7 +100,7 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_lineage(trades(spark, sf_dir))
 
 
-def faulty_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def faulty_records(spark: SparkSession, sf_dir: str, keep_event_id: bool = False) -> DataFrame:
     """The trades as unchecked text records, some with a fault."""
     text = {name: F.col(name).cast("string") for name in FIELDS} | {
         "trade_timestamp": F.date_format("trade_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
@@ -121,4 +119,40 @@ def faulty_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         marked = marked.withColumn(
             name, F.when(F.col("_fault") == divisor, broken).otherwise(F.col(name))
         )
-    return marked.select(*FIELDS)
+    return marked.select(*(["event_id"] if keep_event_id else []), *FIELDS)
+
+
+# What is wrong with the landing line of an event, by its id modulo the first number.
+LINE_FAULTS = 23
+TRUNCATED, TWO_OBJECTS, NUMBER_FOR_TEXT, BLANK = 1, 2, 3, 4
+
+
+def landing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records as JSON lines (`value`), some broken, blank or with a number for a text."""
+    records = faulty_records(spark, sf_dir, keep_event_id=True)
+    event = F.col("event_id")
+    kind = event % LINE_FAULTS
+    unquoted = ("notional", "price", "is_anomaly")
+
+    def member(name: str) -> Column:
+        quoted = F.concat(F.lit('"'), F.col(name), F.lit('"'))
+        text = F.col(name) if name in unquoted else quoted
+        if name == "counterparty":
+            text = F.when(kind == NUMBER_FOR_TEXT, event.cast("string")).otherwise(text)
+        return F.concat(F.lit(f'"{name}": '), F.coalesce(text, F.lit("null")))
+
+    whole = F.concat(F.lit("{"), F.concat_ws(", ", *map(member, FIELDS)), F.lit("}"))
+    line = (
+        F.when(kind == TRUNCATED, F.expr("left(line, length(line) - 1)"))
+        .when(kind == TWO_OBJECTS, F.concat("line", F.lit(" "), "line"))
+        .when(kind == BLANK, F.lit("  "))
+        .otherwise(F.col("line"))
+    )
+    return records.select("event_id", whole.alias("line")).select(line.alias("value"))
+
+
+def counted_rates(trades: DataFrame) -> DataFrame:
+    """A rate table (instrument, rate) that follows from the trades: hundredths of their number."""
+    hundredths = (F.count(F.lit(1)) % 97 + 1).cast("decimal(10,0)")
+    rate = (hundredths * F.lit(Decimal("0.01"))).cast(RATE)
+    return trades.groupBy(F.lower("instrument").alias("instrument")).agg(rate.alias("rate"))

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from blotter.config import Config
-from blotter.plans.jobs import ingest_lines
+from blotter.operators.validate import LOAD
+from blotter.plans.jobs import ingest_lines, load_name
+from blotter.session import prepare
 
 
 def stream_ingest(
@@ -14,23 +17,30 @@ def stream_ingest(
     folder: str,
     cfg: Config,
     checkpoint: str,
+    name: str,
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Ingest every file not seen yet, then stop.
 
-    A batch that is replayed after a failure adds nothing: Bronze takes a trade_id once, and
-    the quarantine partition of a batch is replaced.
+    Every file is a load of its own, known by the stream's `name` and its path, so what a file adds
+    does not depend on how files fall into batches: replayed after a failure, or from the start
+    with another checkpoint, a file replaces its own lines in the quarantine and nobody else's,
+    and Bronze takes a trade_id once.
     """
+    prepare(spark)
     reader = spark.readStream.schema("value STRING").format("text")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    file = F.xxhash64(F.col("_metadata.file_path"))
+    load = F.concat(F.lit(load_name(name) + "-"), F.lower(F.hex(file))).alias(LOAD)
 
-    def load(batch: DataFrame, batch_id: int) -> None:
-        ingest_lines(batch, cfg, f"stream-{batch_id}")
+    def take_in(batch: DataFrame, _: int) -> None:
+        ingest_lines(batch, cfg)
 
     return (
         reader.load(folder)
-        .writeStream.foreachBatch(load)
+        .select("value", load)
+        .writeStream.foreachBatch(take_in)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

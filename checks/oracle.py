@@ -147,6 +147,21 @@ _view("checked", ("records",), f"""
 SELECT *, concat_ws('; ', {', '.join(_RULES)}) AS error FROM records
 """)
 
+# Landing lines: the fault of a line follows from its trade's number; blank lines are skipped.
+_view("landing", ("records",), """
+SELECT * REPLACE (CASE WHEN variant = 3 THEN CAST(number AS VARCHAR) ELSE counterparty END AS counterparty)
+FROM (SELECT *, CAST(substr(trade_id, 2) AS BIGINT) AS number,
+             CAST(substr(trade_id, 2) AS BIGINT) % 23 AS variant FROM records) AS r
+WHERE variant <> 4
+""")
+_NUMBER_FOR_TEXT = "CASE WHEN variant = 3 THEN 'counterparty: not text' END"
+_view("checked_lines", ("landing",), f"""
+SELECT trade_id AS line_id,
+       CASE WHEN variant IN (1, 2) THEN 'malformed_json'
+            ELSE concat_ws('; ', {', '.join(_RULES)}, {_NUMBER_FOR_TEXT}) END AS error
+FROM landing
+""")
+
 # ---- silver -------------------------------------------------------------------------------
 
 
@@ -432,8 +447,60 @@ def oracle_sql() -> dict[str, str]:
         "bronze_validate": _query("checked", "SELECT trade_id, error = '' AS is_valid, error FROM checked"),
         "bronze_valid": _query("checked", f"SELECT {', '.join(_FIELDS)} FROM checked WHERE error = ''"),
         "bronze_quarantine": _query(
-            "checked", f"SELECT {', '.join(_FIELDS)}, error AS _error FROM checked WHERE error <> ''"
+            "checked",
+            f"SELECT {', '.join(_FIELDS)}, error AS _error, 'load-1' AS _load_id, "
+            "TIMESTAMP '2024-01-01 00:00:00' AS _quarantined_at FROM checked WHERE error <> ''",
+        ),
+        "bronze_fresh": _query(
+            "checked",
+            f"SELECT {', '.join(_FIELDS)}, TIMESTAMP '2024-01-01 00:00:00' AS _ingested_at, "
+            "'trades_jsonl' AS _source FROM checked WHERE error = '' AND status = 'PENDING'",
+        ),
+        "landing_parse": _query("landing", f"""
+SELECT trade_id AS line_id, variant IN (1, 2) AS malformed,
+       CASE WHEN variant = 3 THEN 'counterparty' ELSE '' END AS not_text,
+       {', '.join(
+           f"CASE WHEN variant NOT IN (1, 2) THEN {f'CAST({f} AS DOUBLE)' if f in ('notional', 'price') else f}"
+           f" END AS {f}" for f in _FIELDS
+       )}
+FROM landing
+"""),
+        "landing_validate": _query(
+            "checked_lines", "SELECT line_id, error = '' AS is_valid, error FROM checked_lines"
         ),
+        "table_by_sql_path": "SELECT * REPLACE (CAST(c_nationkey AS BIGINT) AS c_nationkey) FROM customer",
+        "staged_view": _query("silver", f"""
+SELECT desk, region, count(*) AS trades, {_dbl('sum(notional_eur)', 'eur')} FROM silver
+WHERE status <> 'CANCELLED' GROUP BY desk, region
+"""),
+        "sample_size": "SELECT CAST(10 AS BIGINT) AS n_rows, CAST(10 AS BIGINT) AS n_amounts",
+        "fx_conversion_table": _query(("trades", "clean_trades"), f"""
+SELECT trade_id, c.instrument, {_dbl('notional', 'notional')},
+       {_dbl('CAST(round(notional * rate, 2) AS DECIMAL(24,4))', 'notional_eur')}
+FROM clean_trades AS c
+JOIN (SELECT instrument, CAST((count(*) % 97 + 1) * 0.01 AS DECIMAL(10,6)) AS rate
+      FROM trades GROUP BY instrument) AS r USING (instrument)
+"""),
+        "velocity_windows": _query("clean_trades", """
+SELECT trader_id, date_trunc('hour', trade_timestamp) AS window_start,
+       date_trunc('hour', trade_timestamp) + INTERVAL 1 HOUR AS window_end,
+       count(DISTINCT trade_id) AS trades_in_window, count(DISTINCT trade_id) > 1 AS velocity_flag
+FROM clean_trades GROUP BY ALL
+"""),
+        "sorted_daily_volume": _query("mart_daily_volume", """
+SELECT trade_date, desk, instrument, region, row_number() OVER (
+  ORDER BY trade_date DESC, total_notional_eur DESC, desk, instrument, region) AS position
+FROM mart_daily_volume
+"""),
+        "sorted_risk_exposure": _query("mart_risk_exposure", """
+SELECT trader_id, desk, region, row_number() OVER (
+  ORDER BY abs(net_exposure_eur) DESC, trader_id, desk, region) AS position
+FROM mart_risk_exposure
+"""),
+        "sorted_top_instruments": _query("mart_top_instruments", """
+SELECT instrument, desk, row_number() OVER (ORDER BY volume_rank, instrument, desk) AS position
+FROM mart_top_instruments
+"""),
         "bronze_summary": _query("checked", f"""
 SELECT total, valid, quarantined, {_pct_of_counts('valid', 'total')} AS valid_pct,
        {_pct_of_counts('quarantined', 'total')} AS quarantined_pct

@@ -12,16 +12,18 @@ from pyspark.sql.types import ByteType, DecimalType, IntegerType, ShortType
 from blotter.config import Config
 from blotter.functions import money
 from blotter.operators import cleaning, features, insert_only, profile, quality, validate
-from blotter.plans import gold
+from blotter.plans import gold, jobs
 from blotter.plans.silver import silver
 from blotter.session import prepare
-from blotter.sources import trades_view
+from blotter.sinks import tables as sink
+from blotter.sources import landing, tables, trades_view
+from blotter.streaming.velocity import velocity_counts
 
 # The sparse test data never reach ten trades of a trader in an hour.
-CFG = replace(Config(), velocity_max_trades=1)
+CFG = replace(Config(root="unused"), velocity_max_trades=1)
 
-# Makes even the test tables too large for plain windows: the plan that large data get.
-LARGE = replace(CFG, segment_rows=1000)
+# Cuts the test tables as finely as very large ones: every trade is a cut, two make a block.
+CUT = replace(CFG, segment_rows=1, samples_per_cut=1, cuts_per_block=2)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,14 +63,11 @@ def _featured(spark, sf_dir):
 
 
 def _active(spark, sf_dir):
-    return features.add_activity(
-        _featured(spark, sf_dir), LARGE, trades_view.n_trades(spark, sf_dir)
-    )
+    return features.add_activity(_featured(spark, sf_dir), CUT)
 
 
 def _silver(spark, sf_dir):
-    n_rows = trades_view.n_trades(spark, sf_dir)
-    return silver(trades_view.bronze(spark, sf_dir), CFG, n_rows=n_rows)
+    return silver(trades_view.bronze(spark, sf_dir), CFG)
 
 
 def _staged(spark, sf_dir):
@@ -87,6 +86,13 @@ def _mart(name):
     return lambda spark, sf_dir: gold.MARTS[name](_cube(spark, sf_dir), CFG)
 
 
+def _sorted(name):
+    """The keys of a mart with their place in reading order."""
+    return lambda spark, sf_dir: gold.with_position(
+        _mart(name)(spark, sf_dir), name, part_rows=4
+    ).select(*gold.GRAINS[name], "position")
+
+
 def _tables(spark, sf_dir):
     staged = _staged(spark, sf_dir)
     full = gold.enriched(staged, CFG)
@@ -189,17 +195,77 @@ def anomaly_rate(spark, sf_dir):
 
 
 def layer_reconciliation(spark, sf_dir):
-    tables = _tables(spark, sf_dir)
-    marts = {name: tables[name] for name in gold.MARTS}
     intake = cleaning.intake(trades_view.bronze(spark, sf_dir))
-    return profile.reconciliation(intake, _silver(spark, sf_dir), marts)
+    return profile.reconciliation(intake, profile.cube_counts(_cube(spark, sf_dir), gold.GRAINS))
+
+
+def bronze_quarantine(spark, sf_dir):
+    checked = _checked(spark, sf_dir).withColumn(validate.LOAD, F.lit("load-1"))
+    return jobs.quarantine_rows(checked, F.lit(trades_view.INGESTED_AT).cast("timestamp"))
+
+
+def bronze_fresh(spark, sf_dir):
+    """What a load appends to a Bronze that holds everything but the pending trades."""
+    target = _trades(spark, sf_dir).where(F.col("status") != "PENDING")
+    at = F.lit(trades_view.INGESTED_AT).cast("timestamp")
+    return jobs.fresh_rows(_checked(spark, sf_dir), target, at)
+
+
+def _parsed(spark, sf_dir):
+    return landing.parse(trades_view.landing_lines(spark, sf_dir))
+
+
+def landing_parse(spark, sf_dir):
+    # Amounts are JSON numbers, so they are compared as numbers.
+    known = ~F.col(validate.MALFORMED)
+    field = lambda name: F.col(name).cast("double") if name in ("notional", "price") else F.col(name)
+    return _parsed(spark, sf_dir).select(
+        F.regexp_extract(validate.RAW, "T[0-9]{10}", 0).alias("line_id"),
+        F.col(validate.MALFORMED).alias("malformed"),
+        F.array_join(validate.NOT_TEXT, ", ").alias("not_text"),
+        *[F.when(known, field(name)).alias(name) for name in validate.FIELDS],
+    )
+
+
+def landing_validate(spark, sf_dir):
+    return validate.check(_parsed(spark, sf_dir)).select(
+        F.regexp_extract(validate.RAW, "T[0-9]{10}", 0).alias("line_id"),
+        F.col(validate.VALID).alias("is_valid"),
+        F.array_join(validate.ERRORS, "; ").alias("error"),
+    )
+
+
+def fx_conversion_table(spark, sf_dir):
+    """The conversion with a rate table a caller brings."""
+    rates = trades_view.counted_rates(_trades(spark, sf_dir))
+    converted = features.convert_with(_clean(spark, sf_dir), rates)
+    return converted.select("trade_id", "instrument", "notional", "notional_eur")
+
+
+def table_by_sql_path(spark, sf_dir):
+    return tables.read_path_sql(spark, f"{sf_dir}/customer.parquet", CFG)
+
+
+def staged_view(spark, sf_dir):
+    """Staged trades through their SQL view."""
+    sink.as_view(_staged(spark, sf_dir), "registered_stg_trades")
+    return spark.sql(
+        "SELECT desk, region, count(*) AS trades, sum(notional_eur) AS eur "
+        "FROM registered_stg_trades GROUP BY desk, region"
+    )
+
+
+def sample_size(spark, sf_dir):
+    rows = profile.sample_rows(_trades(spark, sf_dir), 10, "trade_id", "notional")
+    return rows.agg(F.count("trade_id").alias("n_rows"), F.count("notional").alias("n_amounts"))
 
 
 def _suite(kind, *only):
     def query(spark, sf_dir):
-        tables = _tables(spark, sf_dir)
-        chosen = {name: tables[name] for name in only} if only else tables
-        return quality.run_suite(chosen, [kind]).select("rule", "failing_rows")
+        found = _tables(spark, sf_dir)
+        chosen = {name: found[name] for name in only} if only else found
+        suite = quality.run_suite(chosen, [kind], quality.SAME_ROWS)
+        return suite.select("rule", "failing_rows")
 
     return query
 
@@ -208,7 +274,18 @@ QUERIES: dict[str, Query] = {
     "bronze_scan": bronze_scan,
     "bronze_validate": bronze_validate,
     "bronze_valid": lambda s, d: validate.valid(_checked(s, d)),
-    "bronze_quarantine": lambda s, d: validate.quarantined(_checked(s, d)),
+    "bronze_quarantine": bronze_quarantine,
+    "bronze_fresh": bronze_fresh,
+    "landing_parse": landing_parse,
+    "landing_validate": landing_validate,
+    "table_by_sql_path": table_by_sql_path,
+    "staged_view": staged_view,
+    "sample_size": sample_size,
+    "fx_conversion_table": fx_conversion_table,
+    "velocity_windows": lambda s, d: velocity_counts(_clean(s, d), CFG),
+    "sorted_daily_volume": _sorted("mart_daily_volume"),
+    "sorted_risk_exposure": _sorted("mart_risk_exposure"),
+    "sorted_top_instruments": _sorted("mart_top_instruments"),
     "bronze_summary": lambda s, d: validate.summary(_checked(s, d)),
     "bronze_merge_insert": bronze_merge_insert,
     "silver_clean": silver_clean,

@@ -31,7 +31,7 @@ def spark(tmp_path_factory):
 
 @pytest.fixture
 def cfg(tmp_path):
-    return replace(Config(), root=str(tmp_path / "lake"))
+    return replace(Config(root="unused"), root=str(tmp_path / "lake"))
 
 
 GOOD = {

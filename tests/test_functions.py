@@ -12,7 +12,7 @@ from blotter.config import FX_RATES_TO_EUR, Config
 from blotter.functions import clock, money, risk, text
 from blotter.operators import features
 
-CFG = Config()
+CFG = Config(root="unused")
 
 
 def values(spark, column, schema, *inputs):

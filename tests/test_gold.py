@@ -13,14 +13,14 @@ from blotter.plans import gold
 from blotter.plans.silver import silver
 from tests.conftest import trade
 
-CFG = Config()
+CFG = Config(root="unused")
 
 
 @pytest.fixture
 def cube(bronze):
     def build(*trades, cfg=CFG):
         return gold.activity_cube(
-            gold.enriched(gold.staging(silver(bronze(*trades), cfg, n_rows=len(trades))), cfg)
+            gold.enriched(gold.staging(silver(bronze(*trades), cfg)), cfg)
         )
 
     return build
@@ -150,7 +150,7 @@ def test_flagged_traders(bronze):
         trade(trade_id=f"{t}{i}", trader_id=f"TDR_{t:03d}") for t in range(12) for i in range(2)
     ]
     cfg = replace(CFG, velocity_max_trades=1)
-    top = profile.flagged_traders(silver(bronze(*trades), cfg, n_rows=24)).collect()
+    top = profile.flagged_traders(silver(bronze(*trades), cfg)).collect()
     assert [(r.trader_id, r.flagged_trades) for r in top] == [
         (f"TDR_{t:03d}", 2) for t in range(10)
     ]

@@ -7,10 +7,12 @@ from dataclasses import replace
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from blotter.operators import quality
 from blotter.plans import gold, jobs
-from blotter.session import MOST_PARTITIONS, size_shuffles
+from blotter.plans.silver import silver
+from blotter.session import sized_shuffles
 from blotter.sinks import tables as sink
 from blotter.sinks.csv_export import ExportError, export
 from blotter.sources import files
@@ -23,6 +25,7 @@ from blotter.sources.tables import (
     table_exists,
 )
 from tests.conftest import line
+from tests.plans import executed_plan
 
 GOOD_LINES = [
     line(trade_id="a", instrument="GBPUSD", desk="FX", notional=2_000_000),
@@ -91,12 +94,66 @@ def test_staging_is_removed(spark, cfg, landing):
     assert not shared.exists() or not any(shared.iterdir())
 
 
+def test_a_mended_load_leaves_the_quarantine(spark, cfg, landing):
+    jobs.ingest(spark, landing(*BAD_LINES), cfg, "load-1")
+    jobs.ingest(spark, landing(*BAD_LINES[:1], name="other.jsonl"), cfg, "load-2")
+    again = jobs.ingest(spark, landing(line(trade_id="x")), cfg, "load-1")
+    assert again == {"valid_count": 1, "quarantine_count": 0, "inserted_count": 1}
+    left = read_table(spark, cfg.quarantine_path, cfg).collect()
+    assert [(r._load_id, r._raw) for r in left] == [("load-2", BAD_LINES[0])]
+
+
+def test_a_load_id_names_a_folder(spark, cfg, landing):
+    with pytest.raises(ValueError, match="a load id"):
+        jobs.ingest(spark, landing(*GOOD_LINES), cfg, "../elsewhere")
+
+
+def test_bronze_as_a_bucketed_table(spark, cfg, landing):
+    cfg = replace(cfg, bronze_table="bronze_job_test", bronze_buckets=4)
+    try:
+        assert jobs.bronze(spark, cfg) is None
+        assert jobs.ingest(spark, landing(*GOOD_LINES), cfg)["inserted_count"] == 4
+        assert jobs.ingest(spark, landing(*GOOD_LINES, line(trade_id="e")), cfg)["inserted_count"] == 1
+        assert jobs.transform(spark, cfg) == {"silver": 4}
+    finally:
+        spark.sql("DROP TABLE IF EXISTS bronze_job_test")
+
+
+def test_all_cancelled_runs_through(spark, cfg, landing):
+    path = landing(line(trade_id="c", status="CANCELLED"))
+    result = jobs.run_pipeline(spark, cfg, path)
+    assert result["silver"] == {"silver": 0}
+    assert result["gold"] == dict.fromkeys(gold.MARTS, 0)
+
+
+def test_a_failing_write_keeps_the_old_table(spark, cfg, landing):
+    jobs.ingest(spark, landing(*GOOD_LINES), cfg)
+    jobs.transform(spark, cfg)
+    jobs.build_gold(spark, cfg)
+    silver = read_table(spark, cfg.silver_path, cfg)
+    broken = silver.withColumn(
+        "counterparty", F.when(F.col("trade_id") == "b", F.raise_error(F.lit("no"))).otherwise("x")
+    )
+    marts = {t: read_gold(spark, t, cfg).collect() for t in gold.MARTS}
+    with pytest.raises(Exception, match="no"):
+        sink.write_silver(broken, cfg.silver_path, cfg)
+    with pytest.raises(Exception, match="no"):
+        sink.overwrite(broken, cfg.gold_path("mart_daily_volume"), cfg)
+    assert read_table(spark, cfg.silver_path, cfg).count() == 3
+    assert {t: read_gold(spark, t, cfg).collect() for t in gold.MARTS} == marts
+    assert sorted(p.name for p in (Path(cfg.root) / "gold").iterdir()) == sorted(gold.MARTS)
+
+
+def test_silver_reads_bronze_without_counting_it(spark, cfg, landing):
+    """Planned for the rows and for the sums per segment, each with the sample for the cuts."""
+    jobs.ingest(spark, landing(*GOOD_LINES), cfg)
+    plan = executed_plan(silver(jobs.bronze(spark, cfg), cfg))
+    assert plan.count("FileScan parquet") <= 4
+
+
 def test_silver_job_counts_and_layout(spark, cfg, landing):
     jobs.ingest(spark, landing(*GOOD_LINES), cfg)
-    assert jobs.transform(spark, cfg) == {
-        "bronze": 4, "dropped_incomplete": 0, "dropped_cancelled": 1, "dropped_no_status": 0,
-        "silver": 3,
-    }
+    assert jobs.transform(spark, cfg) == {"silver": 3}
     days = {p.name for p in Path(cfg.silver_path).iterdir() if p.is_dir()}
     assert days == {"trade_date=2026-01-05", "trade_date=2026-01-06"}
     assert jobs.transform(spark, cfg)["silver"] == 3
@@ -142,15 +199,12 @@ def test_pipeline(spark, cfg, landing):
         "mart_daily_volume": 3, "mart_risk_exposure": 3, "mart_top_instruments": 2,
     }
     assert len(result["quality"]) == 51
-    assert result["export"]["exported_tables"] == list(result["gold"])
+    assert {e.table: e.rows for e in result["export"]} == result["gold"]
     for table, rows in result["gold"].items():
-        (part,) = (Path(cfg.root) / "export" / table).glob("part-*.csv")
-        with part.open(encoding="utf-8") as f:
-            read = list(csv.DictReader(f))
+        read = exported(f"{cfg.root}/export/{table}")
         assert len(read) == rows
         assert set(read[0]) == set(read_gold(spark, table, cfg).columns)
-    with part.open(encoding="utf-8") as f:
-        assert [r["volume_rank"] for r in csv.DictReader(f)] == ["1", "2"]
+    assert [r["volume_rank"] for r in read] == ["1", "2"]
     # A second run changes nothing.
     again = jobs.run_pipeline(spark, cfg, path, "load-1")
     assert again["ingest"]["inserted_count"] == 0 and again["gold"] == result["gold"]
@@ -183,10 +237,13 @@ def test_gold_in_the_catalog(spark, cfg, landing):
     assert spark.catalog.tableExists("gold_test.mart_daily_volume")
     assert read_gold(spark, "mart_daily_volume", cfg).count() == 3
     done = export(spark, f"{cfg.root}/export", cfg, ["mart_daily_volume"])
-    assert done["results"][0]["rows"] == 3
-    silver = read_table(spark, cfg.silver_path, cfg)
-    assert sink.register(silver, "gold_test", "silver_trades", cfg) == "gold_test.silver_trades"
+    assert [(e.table, e.rows) for e in done] == [("mart_daily_volume", 3)]
     assert spark.table("gold_test.silver_trades").count() == 3
+    assert jobs.transform(spark, cfg) == {"silver": 3}
+    assert spark.table("gold_test.silver_trades").where("trade_date = DATE'2026-01-06'").count() == 1
+    rows = read_table(spark, cfg.silver_path, cfg)
+    assert sink.register(rows, "gold_test", "copied_trades", cfg) == "gold_test.copied_trades"
+    assert spark.table("gold_test.copied_trades").count() == 3
     spark.sql("DROP DATABASE gold_test CASCADE")
 
 
@@ -196,25 +253,29 @@ def test_export_reports_failures_after_exporting_the_rest(spark, cfg, landing):
     jobs.build_gold(spark, cfg)
     target = Path(cfg.root) / "export"
     files.delete(spark, cfg.gold_path("mart_daily_volume"))
-    with pytest.raises(ExportError, match="mart_daily_volume"):
+    with pytest.raises(ExportError, match="mart_daily_volume") as failed:
         export(spark, str(target), cfg)
+    assert [bool(r.error) for r in failed.value.results] == [True, False, False]
     assert (target / "mart_top_instruments").exists()
 
 
-def test_large_export_is_written_by_several_tasks_in_order(spark, cfg, landing):
-    cfg = replace(cfg, single_csv_rows=10)
+@pytest.mark.parametrize("one_part", [False, True])
+def test_export_is_in_reading_order(spark, cfg, landing, one_part):
     lines = [line(trade_id=f"t{i}", trader_id=f"TDR_{i:03d}", notional=i + 1) for i in range(200)]
     jobs.ingest(spark, landing(*lines), cfg)
     jobs.transform(spark, cfg)
     jobs.build_gold(spark, cfg)
-    export(spark, f"{cfg.root}/export", cfg, ["mart_risk_exposure"])
-    parts = sorted((Path(cfg.root) / "export" / "mart_risk_exposure").glob("part-*.csv"))
-    nets = [
-        float(row["net_exposure_eur"])
-        for part in parts
-        for row in csv.DictReader(part.open(encoding="utf-8"))
-    ]
-    assert nets == sorted(nets, reverse=True) and len(nets) == 200
+    (done,) = export(spark, f"{cfg.root}/export", cfg, ["mart_risk_exposure"], one_part)
+    nets = [float(row["net_exposure_eur"]) for row in exported(done.path)]
+    assert nets == sorted(nets, reverse=True) and len(nets) == done.rows == 200
+    if one_part:
+        assert len(list(Path(done.path).glob("part-*.csv"))) == 1
+
+
+def exported(path):
+    """The rows of all parts, in the order of their names."""
+    parts = sorted(Path(path).glob("part-*.csv"))
+    return [row for part in parts for row in csv.DictReader(part.open(encoding="utf-8"))]
 
 
 def test_contract_check(spark):
@@ -224,15 +285,24 @@ def test_contract_check(spark):
         require_columns(df, ["trade_id", "region"])
 
 
-def test_shuffle_sizing_only_raises(spark):
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        assert size_shuffles(spark, 100, 1000) == int(before)
-        assert size_shuffles(spark, 100_000, 1000) == 100
-        assert size_shuffles(spark, 50_000, 1000) == 100
-        assert size_shuffles(spark, 10**14, 1) == MOST_PARTITIONS
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+def test_shuffle_sizing_only_raises_and_only_for_a_job(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    for stored, wanted in ((100, int(before)), (100_000, 100), (10**9, 10**6)):
+        with sized_shuffles(spark, stored, 1000) as count:
+            assert count == wanted == int(spark.conf.get(key))
+        assert spark.conf.get(key) == before
+    with pytest.raises(KeyError), sized_shuffles(spark, 10**9, 1):
+        raise KeyError
+    assert spark.conf.get(key) == before
+
+
+def test_stored_bytes(spark, tmp_path):
+    (tmp_path / "a" / "b").mkdir(parents=True)
+    (tmp_path / "a" / "b" / "x.txt").write_text("12345")
+    (tmp_path / "a" / "y.txt").write_text("123")
+    assert files.stored_bytes(spark, str(tmp_path / "a")) == 8
+    assert files.stored_bytes(spark, str(tmp_path / "a" / "*.txt"), str(tmp_path / "none")) == 3
 
 
 def test_every_mart_has_a_builder_and_an_order():

@@ -15,7 +15,7 @@ from blotter.plans.silver import silver
 from blotter.sources.landing import parse
 from tests.conftest import line, trade
 
-CFG = Config()
+CFG = Config(root="unused")
 SLOW = settings(
     max_examples=8,
     deadline=None,
@@ -43,7 +43,7 @@ TRADES = st.lists(
 @given(TRADES)
 def test_marts_agree_with_each_other(bronze, made):
     trades = [trade(trade_id=f"t{i:03d}", **fields) for i, fields in enumerate(made)]
-    df = silver(bronze(*trades), CFG, n_rows=len(trades))
+    df = silver(bronze(*trades), CFG)
     cube = gold.activity_cube(gold.enriched(gold.staging(df), CFG))
     daily = gold.daily_volume(cube).collect()
     risk = gold.risk_exposure(cube, CFG).collect()

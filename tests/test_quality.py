@@ -13,13 +13,13 @@ from blotter.plans import gold
 from blotter.plans.silver import silver
 from tests.conftest import trade
 
-CFG = Config()
+CFG = Config(root="unused")
 
 
 @pytest.fixture
 def tables(bronze):
     def build(*trades):
-        staged = gold.staging(silver(bronze(*trades), CFG, n_rows=len(trades)))
+        staged = gold.staging(silver(bronze(*trades), CFG))
         full = gold.enriched(staged, CFG)
         cube = gold.activity_cube(full)
         marts = {name: build(cube, CFG) for name, build in gold.MARTS.items()}

@@ -17,7 +17,7 @@ from blotter.operators.segments import SEGMENT, assign_segments, cut_points
 from blotter.plans.silver import SILVER_SCHEMA, silver
 from tests.conftest import trade
 
-CFG = Config()
+CFG = Config(root="unused")
 
 
 def test_clean_normalises_and_casts(bronze):
@@ -87,9 +87,9 @@ def flags(df):
 
 
 MODES = {
-    "whole days": dict(cfg=CFG, n_rows=1000),
-    "segments": dict(cfg=replace(CFG, segment_rows=8), n_rows=1000),
-    "segments, rows unknown": dict(cfg=replace(CFG, segment_rows=8), n_rows=None),
+    "no cuts": dict(cfg=CFG),
+    "cuts": dict(cfg=replace(CFG, segment_rows=8)),
+    "every row a cut": dict(cfg=replace(CFG, segment_rows=1, samples_per_cut=1, cuts_per_block=2)),
 }
 
 
@@ -149,16 +149,17 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize(
-    ("segment_rows", "max_segments", "n_rows"),
-    [(10**6, 65_536, 3000), (10**6, 65_536, None), (8, 65_536, 3000), (8, 65_536, None),
-     (8, 10, None), (64, 65_536, 3000)],
+    ("segment_rows", "samples_per_cut", "cuts_per_block"),
+    [(10**6, 8, 128), (8, 8, 128), (8, 8, 3), (64, 8, 128), (1, 1, 2), (3, 1, 1)],
 )
-def test_activity_equals_brute_force(skewed, segment_rows, max_segments, n_rows):
+def test_activity_equals_brute_force(skewed, segment_rows, samples_per_cut, cuts_per_block):
     trades, df = skewed
-    cfg = replace(CFG, segment_rows=segment_rows, max_segments=max_segments)
+    cfg = replace(
+        CFG, segment_rows=segment_rows, samples_per_cut=samples_per_cut, cuts_per_block=cuts_per_block
+    )
     got = {
         r.trade_id: (r.trades_in_hour, r.trader_daily_notional_run)
-        for r in features.add_activity(df, cfg, n_rows).collect()
+        for r in features.add_activity(df, cfg).collect()
     }
     assert got == brute_force(trades)
 
@@ -166,7 +167,7 @@ def test_activity_equals_brute_force(skewed, segment_rows, max_segments, n_rows)
 def test_segments_follow_the_order_and_split_the_hot_hour(skewed):
     trades, df = skewed
     cfg = replace(CFG, segment_rows=8)
-    rows = assign_segments(df, features.TRADER_HOUR, features.TIME_ORDER, cfg, len(trades))
+    rows = assign_segments(df, features.TRADER_HOUR, features.TIME_ORDER, cfg)
     groups = defaultdict(list)
     for r in rows.collect():
         key = (r.trader_id, r.trade_date, r.trade_hour)
@@ -183,16 +184,31 @@ def test_segments_follow_the_order_and_split_the_hot_hour(skewed):
     assert max(sizes.values()) <= 8
 
 
-def test_cut_points_are_bounded(skewed):
+def test_one_cut_per_segment_at_any_size(skewed):
     trades, df = skewed
     cuts = lambda **kw: cut_points(
-        df, features.TRADER_HOUR, features.TIME_ORDER, replace(CFG, **kw), len(trades)
+        df, features.TRADER_HOUR, features.TIME_ORDER, replace(CFG, **kw)
     ).count()
-    assert cuts(segment_rows=8) > 100
-    assert cuts(segment_rows=8, max_segments=20) <= 40
+    assert 100 < cuts(segment_rows=8) <= len(trades) / 8
+    assert cuts(segment_rows=64) <= 2 * len(trades) / 64
     assert cuts() == 0
 
 
+def test_a_joined_cut_table_gives_the_same(skewed, spark):
+    """The cuts need not be broadcast."""
+    trades, df = skewed
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        rows = features.add_activity(df, replace(CFG, segment_rows=8)).collect()
+    finally:
+        spark.conf.set(key, before)
+    assert {
+        r.trade_id: (r.trades_in_hour, r.trader_daily_notional_run) for r in rows
+    } == brute_force(trades)
+
+
 def test_unknown_amounts_do_not_break_the_running_total(skewed, spark):
     schema = "trade_id string, trader_id string, trade_timestamp timestamp, notional_eur decimal(24,4)"
     at = datetime(2026, 1, 5, 9)
@@ -200,6 +216,6 @@ def test_unknown_amounts_do_not_break_the_running_total(skewed, spark):
     df = spark.createDataFrame(rows, schema).withColumns(
         {"trade_date": F.to_date("trade_timestamp"), "trade_hour": F.hour("trade_timestamp")}
     )
-    for cfg, n in ((CFG, 3), (replace(CFG, segment_rows=1), 3)):
-        got = features.add_activity(df, cfg, n).orderBy("trade_id").collect()
+    for cfg in (CFG, replace(CFG, segment_rows=1)):
+        got = features.add_activity(df, cfg).orderBy("trade_id").collect()
         assert [r.trader_daily_notional_run for r in got] == [None, 2, 2]

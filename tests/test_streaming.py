@@ -31,7 +31,7 @@ def ids(spark, cfg):
 def test_stream_ingest_equals_batch_ingest(spark, cfg, tmp_path):
     folder, checkpoint = tmp_path / "in", str(tmp_path / "checkpoint")
     write_files(folder, LINES)
-    stream_ingest(spark, str(folder), cfg, checkpoint, files_per_batch=1).awaitTermination()
+    stream_ingest(spark, str(folder), cfg, checkpoint, "s", files_per_batch=1).awaitTermination()
     batch = replace(cfg, root=cfg.root + "-batch")
     jobs.ingest(spark, str(folder), batch)
     assert ids(spark, cfg) == ids(spark, batch) == ["a", "c", "d"]
@@ -39,13 +39,28 @@ def test_stream_ingest_equals_batch_ingest(spark, cfg, tmp_path):
 
     # A later run takes up new files only; replaying everything adds nothing.
     write_files(folder, [[line(trade_id="e")]], start=3)
-    stream_ingest(spark, str(folder), cfg, checkpoint).awaitTermination()
+    stream_ingest(spark, str(folder), cfg, checkpoint, "s").awaitTermination()
     assert ids(spark, cfg) == ["a", "c", "d", "e"]
-    stream_ingest(
-        spark, str(folder), cfg, str(tmp_path / "replay"), files_per_batch=1
-    ).awaitTermination()
-    assert ids(spark, cfg) == ["a", "c", "d", "e"]
-    assert read_table(spark, cfg.quarantine_path, cfg).count() == 2
+    for files_per_batch in (1, 2, None):  # however the files fall into batches
+        replay = str(tmp_path / f"replay-{files_per_batch}")
+        stream_ingest(spark, str(folder), cfg, replay, "s", files_per_batch).awaitTermination()
+        assert ids(spark, cfg) == ["a", "c", "d", "e"]
+        assert read_table(spark, cfg.quarantine_path, cfg).count() == 2
+
+
+def test_two_streams_into_one_lake(spark, cfg, tmp_path):
+    for name in ("one", "two"):
+        write_files(tmp_path / name, [[line(trade_id=name), f"{{bad {name}"]])
+        checkpoint = str(tmp_path / f"checkpoint-{name}")
+        stream_ingest(spark, str(tmp_path / name), cfg, checkpoint, name).awaitTermination()
+    bad = read_table(spark, cfg.quarantine_path, cfg).collect()
+    assert sorted(r._raw for r in bad) == ["{bad one", "{bad two"]
+    # A mended file takes its lines out again, and nobody else's.
+    write_files(tmp_path / "one", [[line(trade_id="one")]])
+    again = str(tmp_path / "again")
+    stream_ingest(spark, str(tmp_path / "one"), cfg, again, "one").awaitTermination()
+    bad = read_table(spark, cfg.quarantine_path, cfg).collect()
+    assert [r._raw for r in bad] == ["{bad two"]
 
 
 SCHEMA = "trade_id string, trader_id string, trade_timestamp timestamp"
@@ -61,7 +76,7 @@ def trades_csv(n, trader, minute, copies=1):
 
 def test_velocity_stream(spark, tmp_path):
     folder, out = tmp_path / "trades", str(tmp_path / "out")
-    cfg = replace(Config(), velocity_max_trades=10)
+    cfg = replace(Config(root="unused"), velocity_max_trades=10)
 
     def counts(df):
         return sorted(
