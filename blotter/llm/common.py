@@ -7,9 +7,13 @@ import shutil
 import tempfile
 from uuid import uuid4
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Workers are kept for later tasks; with the system's allocator they give memory of a batch back.
+pa.set_memory_pool(pa.system_memory_pool())
+
 # The bytes [\x20\x09-\x0D]; bytes.split() and bytes.strip() use just these.
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -57,6 +61,17 @@ def ship_package(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
+# Rows that travel to a Python worker at once: of whole texts, a few megabytes.
+BATCH_ROWS = 2000
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """What the operators need of a session: their package on the workers, and small batches."""
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return spark
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

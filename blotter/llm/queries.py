@@ -20,13 +20,13 @@ from blotter.llm import (
     substring_dedup,
     url_reputation,
 )
-from blotter.llm.common import ship_package
+from blotter.llm.common import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    ship_package(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -43,7 +43,7 @@ from blotter.llm.tokens import (
 
 WINDOW = 35
 GRAM = 5
-SHARD_WORDS = 400_000
+SHARD_WORDS = 200_000
 OWNER_WORDS = 2_000_000
 
 

@@ -8,36 +8,36 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from blotter.llm import line_dedup, ngram_join, packing, quality_rules, substring_dedup
-from blotter.llm.common import shared_folder, ship_package
+from blotter.llm.common import prepare, shared_folder
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules, judged against their language and source."""
-    ship_package(spark)
+    prepare(spark)
     return quality_rules.keep_good(docs)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the lines that one with a smaller id has too."""
-    ship_package(spark)
+    prepare(spark)
     return line_dedup.dedup_lines(docs)
 
 
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near copies the document with the smallest id."""
-    ship_package(spark)
+    prepare(spark)
     return ngram_join.keep_one(docs)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the words of passages that begin anywhere else too."""
-    ship_package(spark)
+    prepare(spark)
     return substring_dedup.remove_repeats(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Training sequences: sequence_id, length, ids, and the doc_ids and offsets of their pieces."""
-    ship_package(spark)
+    prepare(spark)
     packed = packing.pack(
         docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     )

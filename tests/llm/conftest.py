@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from blotter.llm.common import ship_package
+from blotter.llm.common import prepare
 
 # Extra columns whose names the operators use inside.
 CLASHING = ("_id", "_th", "_text", "_row", "kept", "n", "t", "x", "words", "lost", "limits", "m")
@@ -12,7 +12,7 @@ CLASHING = ("_id", "_th", "_text", "_row", "kept", "n", "t", "x", "words", "lost
 
 @pytest.fixture(autouse=True)
 def shipped(spark):
-    ship_package(spark)
+    prepare(spark)
 
 
 @pytest.fixture
