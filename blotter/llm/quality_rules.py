@@ -32,7 +32,7 @@ SYMBOLS = "#*$%&|<>"
 
 # Rate: how far above the quartile, in distances from the median to it, and the least distance.
 SPREAD = 8.0
-SLACK = {"symbol_rate": 0.05, "dup_line_rate": 0.3, "repeat_rate": 0.3, "word_length": 3.0}
+SLACK = {"symbol_rate": 0.05, "dup_line_rate": 0.6, "repeat_rate": 0.3, "word_length": 3.0}
 # A group with fewer rows borrows the sketches of its language, then of all rows.
 LEAST_ROWS = 200
 SKETCH_K = 400
