@@ -4,11 +4,11 @@ Index. A set's tokens are ordered rarest first; two similar sets share one of th
 quarter of their tokens, so only those are indexed. Which tokens are frequent is estimated
 from a sample of documents; any order gives right results, a good one gives short lists.
 
-Skipping by position. Tokens that no other set has are dropped from the index. If a token is the
-first that two sets share, everything before it, and every dropped token, is in one of them
-only. A list keeps an entry only if some other entry leaves enough room for that.
+Skipping by position. Tokens that no other set has among its first are dropped from the index. If a
+token is the first that two sets share, everything before it is in one of them only. A list
+keeps an entry only if some other entry leaves enough room for that.
 
-Set relations. Each list names one leader, the set with the fewest tokens of its own, so that
+Set relations. Each list names one leader, the set with the fewest dropped tokens, so that
 the lists of a family of near copies agree on one. The sets of all its lists meet there and are
 compared with each other once, instead of once per shared token: overlaps come from one product
 of the members' incidence matrix. Sets that are equal were made one before, and a meeting
@@ -140,15 +140,14 @@ def index_entries(docs: DataFrame) -> DataFrame:
 def meetings(entries: DataFrame) -> DataFrame:
     """x and `at`, the meetings (leader, i, j) its set has to be at.
 
-    With u tokens that nobody shares and s shared ones before the first that two sets have in
-    common, their symmetric difference is at least the sum of both u + s; similar sets allow
-    it (100 - PERCENT) / (100 + PERCENT) of the sum of their sizes. `room` is what is left of that.
+    With p tokens before the first that two sets have in common, their symmetric difference is at
+    least the sum of both p; similar sets allow it (100 - PERCENT) / (100 + PERCENT) of the sum of
+    their sizes. `room` is what is left of that. Dropped tokens after the first common one may be
+    further back in the other set, so they count for nothing but the choice of the leader.
     """
-    of_set = Window.partitionBy("x", "n")
-    shared_before = F.row_number().over(of_set.orderBy("p")) - 1
     indexed = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
-    own = indexed - F.count(F.lit(1)).over(of_set)
-    room = (100 - PERCENT) * F.col("n") - (100 + PERCENT) * (own + shared_before)
+    own = indexed - F.count(F.lit(1)).over(Window.partitionBy("x", "n"))
+    room = (100 - PERCENT) * F.col("n") - (100 + PERCENT) * F.col("p")
     placed = checkpointed(
         entries.select("t", "x", "n", room.alias("room"), (own / F.col("n")).alias("own"))
     )

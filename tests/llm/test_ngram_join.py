@@ -54,6 +54,25 @@ def test_sizes_at_the_limit(documents):
     assert got[1] == 0 and got[4] == 3
 
 
+@pytest.mark.parametrize("short, long", [(6, 8), (12, 15), (12, 16)])
+def test_a_copy_with_text_added(documents, short, long):
+    """Shingles that only one of the two has first may be anywhere in the other."""
+    texts = [prose(long + 4, 1000 + seed).split() for seed in range(80)]
+    rows = [(2 * n, " ".join(words[: short + 4])) for n, words in enumerate(texts)]
+    rows += [(2 * n + 1, " ".join(words)) for n, words in enumerate(texts)]
+    got = {r.doc_id: r.component_id for r in check(documents(*rows), rows)}
+    assert all(got[i] == i - i % 2 for i in got)
+
+
+def test_a_frequent_passage_with_a_rare_addition(documents, monkeypatch):
+    """The added shingles are rarer than the common ones, and so come first."""
+    monkeypatch.setattr(tokens, "SAMPLE", 1)
+    passages = [prose(34, 50 + n) for n in range(4)]
+    rows = [(100 * n + k, f"{text} {prose(k, 900 + 10 * n + k)}") for n, text in enumerate(passages) for k in range(9)]
+    got = {r.doc_id: r.component_id for r in check(documents(*rows), rows)}
+    assert all(got[100 * n + 8] == 100 * n for n in range(4))
+
+
 def test_odd_rows(documents):
     rows = [*ODD_ROWS, (30, "x " * 30000), (31, prose(30000, 8)), (32, prose(30000, 8) + " end")]
     check(documents(*rows), rows)
