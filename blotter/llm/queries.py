@@ -14,11 +14,14 @@ from blotter.llm import (
     license_scan,
     line_crf,
     line_dedup,
+    merkle,
     ngram_join,
     packing,
     quality_rules,
+    spelling,
     substring_dedup,
     url_reputation,
+    word_bpe,
 )
 from blotter.llm.common import prepare
 
@@ -91,6 +94,19 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encoding_report(byte_bpe.encode(documents, ranks, public_tokenizers.PATTERN))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.document_manifest(_table(spark, sf_dir, "documents"))
+
+
+def op13_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = word_bpe.read_vocabulary(public_tokenizers.path("word_bpe_49k.json"))
+    return word_bpe.encoding_report(word_bpe.encode(_table(spark, sf_dir, "documents"), vocabulary))
+
+
 OP1_SQL = r"""
 WITH lines AS (
   SELECT doc_id, UNNEST(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -127,6 +143,117 @@ WITH usable AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+
+def _crc32_sql(text: str) -> str:
+    """The unsigned CRC of a text's UTF-8 bytes, bit by bit."""
+    octets = f"list_transform(range(octet_length(encode({text}))), lambda i: ('0x' || hex(encode({text}))[2 * i + 1:2 * i + 2])::UBIGINT)"
+    shift = "list_reduce(list_prepend(xor(c, b), repeat([0::UBIGINT], 8)), lambda a, _: xor(a >> 1, 3988292384::UBIGINT * (a & 1)))"
+    return f"xor(list_reduce(list_prepend(4294967295::UBIGINT, {octets}), lambda c, b: {shift}), 4294967295::UBIGINT)"
+
+
+OP11_SQL = rf"""
+WITH runs AS (
+  SELECT doc_id, lower_run, count(*) AS times FROM (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_run FROM documents)
+  WHERE length(lower_run) >= 7 GROUP BY ALL
+), hashed AS (
+  SELECT lower_run, times, {_crc32_sql("(coalesce(doc_id::VARCHAR, '') || ':' || lower_run)")} AS h FROM runs
+), results AS (
+  SELECT times, CASE WHEN h % 31 = 0
+    THEN left(lower_run, (h % length(lower_run))::INT) || substr(lower_run, (h % length(lower_run))::INT + 2)
+    ELSE lower_run END AS word FROM hashed
+), words AS (
+  SELECT word, sum(times)::BIGINT AS n FROM results WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2
+), holes AS (
+  SELECT word, n, unnest(list_distinct(list_transform(range(1, length(word) + 1),
+    lambda i: left(word, i - 1) || substr(word, i + 1)))) AS hole FROM words
+), marked AS (
+  SELECT word, n, i, left(word, i - 1) || ' ' || substr(word, i + 1) AS mark
+  FROM words, unnest(range(1, length(word) + 1)) AS t(i)
+), near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM marked a JOIN marked b ON a.mark = b.mark AND a.word <> b.word
+  UNION
+  SELECT a.word, a.n, b.word, b.n FROM words a JOIN holes b ON a.word = b.hole
+  UNION
+  SELECT b.word, b.n, a.word, a.n FROM words a JOIN holes b ON a.word = b.hole
+), best AS (
+  SELECT word, count(*) AS n_near, max(other_n) AS best_n,
+    arg_min(other, encode(other)) FILTER (other_n = most) AS other
+  FROM (SELECT *, max(other_n) OVER (PARTITION BY word) AS most FROM near) GROUP BY word
+), formed AS (
+  SELECT words.word, words.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN best_n >= 10 * words.n THEN other END AS form,
+    CASE WHEN best_n >= 10 * words.n THEN best_n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), chain AS (
+  WITH RECURSIVE c AS (
+    SELECT word, word AS root, form AS next FROM formed
+    UNION ALL SELECT c.word, f.word, f.form FROM c JOIN formed f ON c.next = f.word
+  ) SELECT word, root FROM c WHERE next IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN chain USING (word)
+"""
+
+
+def _leaf_sql(text: str) -> str:
+    values = [*(f"{name}::VARCHAR" for name in ("doc_id", "source", "lang", "n_chars")), text]
+    tagged = " || ".join(f"coalesce(octet_length(encode({v})) || ':' || ({v}), '-')" for v in values)
+    return f"sha256({tagged})"
+
+
+_TAMPERED = f"CASE WHEN {_crc32_sql('(doc_id::VARCHAR)')} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END"
+
+
+def _tree_sql(name: str, leaves: str, group: str) -> str:
+    """The nodes of the trees over `leaves`, and per node the siblings in its run."""
+    return f"""
+{name} AS (
+  SELECT {group}, 0 AS level, place, size, node FROM {leaves}
+  UNION ALL
+  SELECT {group}, min(level) + 1, place // 3, any_value((size + 2) // 3), sha256(string_agg(node, '' ORDER BY place))
+  FROM {name} WHERE size > 1 GROUP BY {group}, place // 3
+), {name}_runs AS (
+  SELECT {group}, level, place // 3 AS run, list(node ORDER BY place) AS nodes FROM {name} WHERE size > 1 GROUP BY ALL
+)"""
+
+
+def _fold_sql(name: str, start: str, tree: str, group: str) -> str:
+    """Follow the runs of `tree` from the leaves in `start` to the top, gathering siblings."""
+    at = "CAST(f.place % 3 AS INT)"
+    return f"""
+{name} AS (
+  SELECT doc_id, source, leaf, {group} AS tree_of, 0 AS level, place, proof, folded FROM {start}
+  UNION ALL
+  SELECT f.doc_id, f.source, f.leaf, f.tree_of, f.level + 1, f.place // 3,
+    f.proof || array_to_string(r.nodes[1:{at}], '') || array_to_string(r.nodes[{at} + 2:], ''),
+    sha256(array_to_string(r.nodes[1:{at}], '') || f.folded || array_to_string(r.nodes[{at} + 2:], ''))
+  FROM {name} f JOIN {tree}_runs r
+    ON r.{group} IS NOT DISTINCT FROM f.tree_of AND r.level = f.level AND r.run = f.place // 3
+)"""
+
+
+OP12_SQL = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, source, {_leaf_sql("text")} AS node, {_leaf_sql(_TAMPERED)} AS presented,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS place, count(*) OVER (PARTITION BY source) AS size
+  FROM documents
+), {_tree_sql("tree", "leaves", "source")}, subroots AS (
+  SELECT 'all' AS everything, source, node, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place,
+    count(*) OVER () AS size FROM tree WHERE size = 1
+), {_tree_sql("top", "subroots", "everything")}, start AS (
+  SELECT doc_id, source, node AS leaf, place, '' AS proof, presented AS folded FROM leaves
+), {_fold_sql("inner_fold", "start", "tree", "source")}, middle AS (
+  SELECT f.doc_id, f.source, f.leaf, 'all' AS everything, s.place, f.proof, f.folded, s.node AS subroot
+  FROM (SELECT * FROM inner_fold QUALIFY level = max(level) OVER (PARTITION BY source, doc_id)) f
+  JOIN subroots s ON s.source IS NOT DISTINCT FROM f.source
+), {_fold_sql("outer_fold", "middle", "top", "everything")}
+SELECT o.doc_id, o.leaf, m.subroot, (SELECT node FROM top WHERE size = 1) AS root, sha256(o.proof) AS proof_sha256,
+  o.folded AS folded_root, o.folded = (SELECT node FROM top WHERE size = 1) AS verified
+FROM (SELECT * FROM outer_fold QUALIFY level = max(level) OVER ()) o
+JOIN middle m ON m.doc_id = o.doc_id
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
@@ -138,9 +265,14 @@ QUERIES: dict[str, Query] = {
     "op8_license_scans": op8_license_scans,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_word_bpe": op13_word_bpe,
 }
 
 SQL: dict[str, str] = {
     "op1_line_dedup": OP1_SQL,
     "op6_topk": OP6_SQL,
+    "op11_spelling_variants": OP11_SQL,
+    "op12_merkle_manifest": OP12_SQL,
 }

@@ -70,4 +70,4 @@ def test_query_equals_sql(spark, name):
 
 def test_every_operator_is_registered():
     numbers = {int(n[2:].split("_")[0]) for n in contract.queries() if n.startswith("op")}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
