@@ -51,7 +51,9 @@ def _rows(frame: pd.DataFrame) -> list[str]:
 def _plain(value):
     if hasattr(value, "isoformat"):
         return pd.Timestamp(value).isoformat()
-    return value.item() if hasattr(value, "item") else value
+    value = value.item() if hasattr(value, "item") else value
+    # A whole-number column with nulls is floating in one frame and not in the other.
+    return int(value) if isinstance(value, float) and value.is_integer() else value
 
 
 def differences(ours: pd.DataFrame, theirs: pd.DataFrame) -> list[str]:
