@@ -59,6 +59,9 @@ class Config:
     # Range-cluster Silver by trader and instrument within a date. It costs a sampling pass over
     # the finished rows; without it Spark only balances the files of each date.
     cluster_silver: bool = True
+    # Cluster along a space-filling key, so that files and row groups are narrow in instruments too;
+    # without it they are sorted by trader first, and by instrument only within a trader.
+    zorder_silver: bool = True
 
     # Shuffle partitions are sized so that each holds about this many bytes.
     partition_bytes: int = 128 * 1024 * 1024

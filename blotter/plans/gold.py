@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blotter.config import Config
 from blotter.functions import clock, money, risk
 from blotter.operators.cleaning import drop_cancelled
-from blotter.operators.ranking import PART_ROWS, descending, with_rank
+from blotter.operators.ranking import descending, with_place, with_ranks
 from blotter.plans.silver import conform
+from blotter.session import checkpointed
 
 
 def staging(silver: DataFrame) -> DataFrame:
@@ -75,6 +78,20 @@ def activity_cube(trades: DataFrame) -> DataFrame:
     )
 
 
+_EXTREMES = {"eur_min": F.min, "eur_max": F.max}
+
+
+def rolled_up(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Coarser cells with the same measures: counts, sums and extremes combine."""
+    measures = [name for name in cells.columns if name not in CUBE_KEYS]
+    return cells.groupBy(*keys).agg(
+        *[
+            _EXTREMES.get(name, F.sum)(name).cast(cells.schema[name].dataType).alias(name)
+            for name in measures
+        ]
+    )
+
+
 def _count(measure: str, name: str) -> Column:
     return F.sum(measure).alias(name)
 
@@ -169,9 +186,25 @@ def risk_exposure(cube: DataFrame, cfg: Config) -> DataFrame:
     )
 
 
-def top_instruments(cube: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
-    """Volume, activity, shares and ranks per instrument and desk."""
-    totals = cube.groupBy("instrument", "desk").agg(
+# The columns of the totals, in order.
+INSTRUMENT_TOTALS = (
+    "instrument", "desk", "trade_count", "total_volume_eur", "avg_trade_size_eur", "min_trade_size_eur",
+    "max_trade_size_eur", "buy_volume_eur", "sell_volume_eur", "net_volume_eur", "unique_traders",
+    "active_days", "active_regions", "anomaly_count", "velocity_flagged_count", "large_trade_count",
+    "critical_alert_count", "first_trade_date", "last_trade_date",
+)
+
+
+def instrument_totals(cube: DataFrame, distinct: bool = True) -> DataFrame:
+    """Volume and activity per instrument and desk.
+
+    Without `distinct`, the cells may lack traders and regions, whose counts are then left out.
+    """
+    apart = ["trader_id", "region"] if distinct else []
+    names = {"trader_id": "unique_traders", "region": "active_regions"}
+    counts = [F.count_distinct(column).alias(names[column]) for column in apart]
+    order = [name for name in INSTRUMENT_TOTALS if distinct or name not in names.values()]
+    return cube.groupBy("instrument", "desk").agg(
         _count("trades", "trade_count"),
         _money("eur", "total_volume_eur"),
         _average("avg_trade_size_eur"),
@@ -180,28 +213,41 @@ def top_instruments(cube: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
         _money("eur_bought", "buy_volume_eur"),
         _money("eur_sold", "sell_volume_eur"),
         _money("eur_net", "net_volume_eur"),
-        F.count_distinct("trader_id").alias("unique_traders"),
+        *counts,
         F.count_distinct("trade_date").alias("active_days"),
-        F.count_distinct("region").alias("active_regions"),
         _count("anomalies", "anomaly_count"),
         _count("fast", "velocity_flagged_count"),
         _count("large", "large_trade_count"),
         _count("critical", "critical_alert_count"),
         F.min("trade_date").alias("first_trade_date"),
         F.max("trade_date").alias("last_trade_date"),
-    )
+    ).select(*order)
+
+
+def top_instruments(cube: DataFrame) -> DataFrame:
+    """Volume, activity, shares and ranks per instrument and desk.
+
+    The totals are computed and stored here: the grand total and both ranks are read from them.
+    """
+    return with_shares_and_ranks(instrument_totals(cube))
+
+
+def with_shares_and_ranks(totals: DataFrame) -> DataFrame:
+    """The mart from the totals per instrument and desk."""
     col = F.col
     volume = col("total_volume_eur")
-    whole_market = totals.select(F.sum(volume)).scalar()
-    shares = totals.select(
-        "*",
+    orders = {"volume_rank": descending(volume), "anomaly_rank": descending(col("anomaly_count"))}
+    stored = checkpointed(totals)
+    whole_market = stored.select(F.sum(volume)).scalar()
+    ranked = with_ranks(stored, orders, GRAINS["mart_top_instruments"])
+    return ranked.select(
+        *totals.columns,
         money.percent(col("anomaly_count"), col("trade_count")).alias("anomaly_rate_pct"),
         money.percent(col("large_trade_count"), col("trade_count")).alias("large_trade_rate_pct"),
         money.percent(col("buy_volume_eur"), volume).alias("buy_volume_pct"),
         money.percent(volume, whole_market).alias("volume_share_pct"),
+        *orders,
     )
-    by_volume = with_rank(shares, descending(volume), "volume_rank", part_rows)
-    return with_rank(by_volume, descending(col("anomaly_count")), "anomaly_rank", part_rows)
 
 
 # ---- reading order and previews -----------------------------------------------------------
@@ -235,9 +281,9 @@ READING_KEY = {
 }
 
 
-def with_position(mart: DataFrame, name: str, part_rows: int = PART_ROWS) -> DataFrame:
-    """Add each row's place in reading order, from 1 on."""
-    return with_rank(mart, READING_KEY[name](), "position", part_rows)
+def with_position(mart: DataFrame, name: str) -> DataFrame:
+    """Add each row's place in reading order, from 1 on. The mart is stored for that."""
+    return with_place(checkpointed(mart), READING_KEY[name](), "position", GRAINS[name])
 
 
 def latest_days(daily: DataFrame, n: int = 5) -> DataFrame:
@@ -259,7 +305,7 @@ def instrument_ranking(instruments: DataFrame) -> DataFrame:
 MARTS = {
     "mart_daily_volume": lambda cube, cfg: daily_volume(cube),
     "mart_risk_exposure": risk_exposure,
-    "mart_top_instruments": lambda cube, cfg: top_instruments(cube, cfg.segment_rows),
+    "mart_top_instruments": lambda cube, cfg: top_instruments(cube),
 }
 
 # The columns that tell the rows of a mart apart.

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from blotter.config import GOLD_TABLES, Config
 from blotter.operators import cleaning, profile, quality, validate
 from blotter.operators.insert_only import new_rows
+from blotter.operators.zorder import quantile_cuts
 from blotter.plans import gold
 from blotter.plans.silver import SILVER_DDL, silver
 from blotter.session import prepare, sized_shuffles
@@ -108,6 +109,12 @@ def ingest(spark: SparkSession, path: str, cfg: Config, load_id: str | None = No
         return ingest_lines(lines, cfg)
 
 
+def silver_cuts(rows: DataFrame) -> dict[str, list]:
+    """Quantiles of Silver's clustering columns, from Bronze: those columns are only cleaned."""
+    kept = cleaning.drop_cancelled(cleaning.clean(rows))
+    return {name: quantile_cuts(kept, name) for name in sink.SILVER_ZORDER}
+
+
 def transform(
     spark: SparkSession,
     cfg: Config,
@@ -123,7 +130,9 @@ def transform(
     else:
         rows = read_table(spark, source, cfg, BRONZE_SCHEMA)
     with sized_shuffles(spark, files.stored_bytes(spark, source), cfg.partition_bytes):
-        written = sink.write_silver(silver(rows, cfg, rates), silver_path or cfg.silver_path, cfg)
+        cuts = silver_cuts(rows) if cfg.cluster_silver and cfg.zorder_silver else None
+        finished = silver(rows, cfg, rates)
+        written = sink.write_silver(finished, silver_path or cfg.silver_path, cfg, cuts)
     if cfg.gold_database and silver_path is None:
         sink.register_path(
             spark, cfg.silver_path, cfg.gold_database, "silver_trades", SILVER_DDL, cfg

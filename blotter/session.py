@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the transforms rely on, for results first and then for speed.
 RUNTIME_SETTINGS = {
@@ -39,6 +40,24 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The cluster's shared folder. Only a local session may go without one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="blotter-")
+    return folder
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Compute a DataFrame once, into the shared folder: what is built on it outlives lost executors."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(checkpoint_folder(df.sparkSession))
+    return df.checkpoint()
+
+
 @contextmanager
 def sized_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int) -> Iterator[int]:
     """For one job, enough shuffle partitions that each holds about `partition_bytes`.

@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 
 from blotter.config import Config
 from blotter.operators.validate import LOAD
+from blotter.operators.zorder import clustered
 from blotter.sources import files
 
 # Rows of one day that lie close together: file and row-group statistics then skip on traders
 # and instruments. The last two columns let a range cut even inside one trader's instrument.
 SILVER_LAYOUT = ("trade_date", "trader_id", "instrument", "trade_timestamp", "trade_id")
+# The columns a space-filling key runs through, for filters on any of them.
+SILVER_ZORDER = ("trader_id", "instrument")
 
 
 @contextmanager
@@ -88,17 +91,35 @@ def clear_loads(spark: SparkSession, path: str, load_ids: Iterable[str]) -> None
         files.delete(spark, f"{path}/{LOAD}={load_id}")
 
 
-def write_silver(df: DataFrame, path: str, cfg: Config) -> int:
-    """Replace Silver: partitioned by date, sorted by trader and instrument within a file.
+def write_silver(
+    df: DataFrame, path: str, cfg: Config, cuts: Mapping[str, Sequence] | None = None
+) -> int:
+    """Replace Silver: partitioned by date, clustered by trader and instrument within a date.
 
-    Clustered, a file holds a narrow range of them as well. Otherwise adaptive execution
+    With `cuts`, the quantiles of both, a file and a row group hold a narrow range of each. Without,
+    the rows are sorted by trader and then instrument. Not clustered, adaptive execution
     balances the rows of a date over files, splitting a hot date.
     """
-    if cfg.cluster_silver:
-        placed = df.repartitionByRange(*SILVER_LAYOUT)
+    if cfg.cluster_silver and cuts is not None:
+        placed = clustered(df, "trade_date", cuts, SILVER_LAYOUT[1:])
+    elif cfg.cluster_silver:
+        placed = df.repartitionByRange(*SILVER_LAYOUT).sortWithinPartitions(*SILVER_LAYOUT)
     else:
-        placed = df.hint("rebalance", "trade_date")
-    return overwrite(placed.sortWithinPartitions(*SILVER_LAYOUT), path, cfg, ["trade_date"])
+        placed = df.hint("rebalance", "trade_date").sortWithinPartitions(*SILVER_LAYOUT)
+    return overwrite(placed, path, cfg, ["trade_date"])
+
+
+def replace_dates(df: DataFrame, path: str, cfg: Config) -> int:
+    """Write the dates that the rows have anew; other dates keep their files."""
+    with counting(df.hint("rebalance", "trade_date")) as (counted, counts):
+        (
+            counted.write.format(cfg.table_format)
+            .mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("trade_date")
+            .save(path)
+        )
+    return counts["rows"]
 
 
 def write_gold(df: DataFrame, table: str, cfg: Config) -> int:

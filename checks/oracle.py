@@ -440,6 +440,51 @@ def _layer(name: str, counted: str) -> str:
     return f"SELECT '{name}' AS layer, count(*) AS n_rows FROM {counted}"
 
 
+_BUCKETS = 256
+
+
+def _bucketed(column: str) -> tuple[str, str]:
+    """Views that give every value of a column its bucket: quantiles, or a bucket for each."""
+    c = column
+    return f"{c}_buckets", f"""
+WITH counted AS (
+  SELECT {c} AS v, count(*) AS n FROM clean_trades WHERE {c} IS NOT NULL GROUP BY {c}
+), placed AS (
+  SELECT v, n, row_number() OVER (ORDER BY v) AS place, count(*) OVER () AS d, sum(n) OVER () AS total FROM counted
+), parts AS (
+  SELECT CASE WHEN d < {_BUCKETS} THEN place ELSE (place - 1) * {_BUCKETS} // d END AS part,
+         min(v) AS v, sum(n) AS n, any_value(d) AS d, any_value(total) AS total FROM placed GROUP BY 1
+), up_to AS (
+  SELECT *, coalesce(sum(n) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS so_far FROM parts
+), cuts AS (
+  SELECT min(v) AS v FROM up_to
+  GROUP BY CASE WHEN d < {_BUCKETS} THEN part ELSE so_far * {_BUCKETS - 1} // total END
+)
+SELECT counted.v, (SELECT count(*) FROM cuts WHERE cuts.v <= counted.v) - 1 AS bucket, (SELECT count(*) FROM cuts) - 1 AS cuts
+FROM counted
+"""
+
+
+_Z_COLUMNS = ("trader_id", "instrument", "counterparty")
+for _column in _Z_COLUMNS:
+    _view(_bucketed(_column)[0], ("clean_trades",), _bucketed(_column)[1])
+
+
+def _z_key() -> str:
+    """The bits of the buckets in turn, those of a coarse column moved to the top."""
+    width = lambda c: f"length(ltrim(bin({c}_buckets.cuts), '0'))"
+    most = f"greatest({', '.join(width(c) for c in _Z_COLUMNS)})"
+    n = len(_Z_COLUMNS)
+    bits = [
+        f"(((CAST({c}_buckets.bucket AS BIGINT) << ({most} - {width(c)})) >> {bit}) & 1) * {1 << (bit * n + n - 1 - place)}"
+        for bit in range(8)
+        for place, c in enumerate(_Z_COLUMNS)
+    ]
+    joins = " ".join(f"JOIN {c}_buckets ON {c}_buckets.v = t.{c}" for c in _Z_COLUMNS)
+    names = ", ".join(f"{c}_buckets.bucket AS {c}_bucket" for c in _Z_COLUMNS)
+    return f"SELECT trade_id, {names}, CAST({' + '.join(bits)} AS BIGINT) AS z_key FROM clean_trades t {joins}"
+
+
 def oracle_sql() -> dict[str, str]:
     marts = ("mart_daily_volume", "mart_risk_exposure", "mart_top_instruments")
     sql = {
@@ -613,4 +658,18 @@ FROM mart_top_instruments ORDER BY volume_rank, instrument, desk
     }
     for mart in marts:
         sql[mart] = _query(mart, f"SELECT * FROM {mart}")
+    # The same marts, by way of their state per date, and with bitmaps for the distinct counts.
+    for mart in marts[1:]:
+        sql[f"{mart}_merged"] = sql[mart]
+    sql["distinct_by_bitmaps"] = _query("enriched", """
+SELECT instrument, desk, count(DISTINCT trader_id) AS unique_traders, count(DISTINCT region) AS active_regions
+FROM enriched GROUP BY instrument, desk
+""")
+    sql["silver_zorder"] = _query(tuple(f"{c}_buckets" for c in _Z_COLUMNS), _z_key())
+    sql["cents_to_euros_sql"] = sql["cents_to_euros"]
+    sql["fx_conversion_sql"] = sql["fx_conversion"]
+    sql["trades_between"] = _query("silver", """
+SELECT trade_date, desk, count(*) AS trades, CAST(sum(notional_eur) AS DOUBLE) AS eur FROM silver
+WHERE trade_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-14' GROUP BY trade_date, desk
+""")
     return sql

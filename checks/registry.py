@@ -11,10 +11,19 @@ from pyspark.sql.types import ByteType, DecimalType, IntegerType, ShortType
 
 from blotter.config import Config
 from blotter.functions import money
-from blotter.operators import cleaning, features, insert_only, profile, quality, validate
-from blotter.plans import gold, jobs
+from blotter.functions import sql as sql_functions
+from blotter.operators import (
+    cleaning,
+    features,
+    insert_only,
+    profile,
+    quality,
+    validate,
+    zorder,
+)
+from blotter.plans import gold, incremental, jobs
 from blotter.plans.silver import silver
-from blotter.session import prepare
+from blotter.session import checkpointed, prepare
 from blotter.sinks import tables as sink
 from blotter.sources import landing, tables, trades_view
 from blotter.streaming.velocity import velocity_counts
@@ -22,9 +31,6 @@ from blotter.streaming.velocity import velocity_counts
 # The sparse test data never reach ten trades of a trader in an hour.
 CFG = replace(Config(root="unused"), velocity_max_trades=1)
 
-# Cuts the test tables as finely as very large ones: every trade is a cut, two make a block.
-CUT = replace(CFG, segment_rows=1, samples_per_cut=1, cuts_per_block=2)
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -63,7 +69,7 @@ def _featured(spark, sf_dir):
 
 
 def _active(spark, sf_dir):
-    return features.add_activity(_featured(spark, sf_dir), CUT)
+    return features.add_activity(_featured(spark, sf_dir), CFG)
 
 
 def _silver(spark, sf_dir):
@@ -88,15 +94,15 @@ def _mart(name):
 
 def _sorted(name):
     """The keys of a mart with their place in reading order."""
-    return lambda spark, sf_dir: gold.with_position(
-        _mart(name)(spark, sf_dir), name, part_rows=4
-    ).select(*gold.GRAINS[name], "position")
+    return lambda spark, sf_dir: gold.with_position(_mart(name)(spark, sf_dir), name).select(
+        *gold.GRAINS[name], "position"
+    )
 
 
 def _tables(spark, sf_dir):
     staged = _staged(spark, sf_dir)
     full = gold.enriched(staged, CFG)
-    cube = gold.activity_cube(full)
+    cube = checkpointed(gold.activity_cube(full))  # for all marts
     marts = {name: build(cube, CFG) for name, build in gold.MARTS.items()}
     return {"stg_trades": staged, "int_trade_enriched": full, **marts}
 
@@ -153,6 +159,16 @@ def calendar_features(spark, sf_dir):
     )
 
 
+def silver_zorder(spark, sf_dir):
+    """The clustering key of Silver's two columns and of one with more values than buckets."""
+    rows = _clean(spark, sf_dir)
+    cuts = {
+        name: zorder.quantile_cuts(rows, name) for name in (*sink.SILVER_ZORDER, "counterparty")
+    }
+    buckets = [zorder.bucket_of(F.col(name), c).alias(f"{name}_bucket") for name, c in cuts.items()]
+    return rows.select("trade_id", *buckets, zorder.z_key(cuts).alias("z_key"))
+
+
 def cents_to_euros(spark, sf_dir):
     """The price taken as cents, so that the rounding shows."""
     cents = F.col("price")
@@ -161,6 +177,32 @@ def cents_to_euros(spark, sf_dir):
     )
 
 
+def cents_to_euros_sql(spark, sf_dir):
+    """The same through the SQL function."""
+    sql_functions.register(spark, CFG)
+    sink.as_view(_trades(spark, sf_dir), "priced_trades")
+    return spark.sql("SELECT trade_id, price AS cents, cents_to_euros(price) AS euros FROM priced_trades")
+
+
+def fx_conversion_sql(spark, sf_dir):
+    sql_functions.register(spark, CFG)
+    sink.as_view(_clean(spark, sf_dir), "clean_trades_view")
+    return spark.sql(
+        "SELECT trade_id, instrument, notional, fx_to_eur(notional, instrument) AS notional_eur "
+        "FROM clean_trades_view"
+    )
+
+
+def trades_between(spark, sf_dir):
+    """A week of trades per desk, by the table function over Silver."""
+    sink.as_view(_silver(spark, sf_dir), "silver_view")
+    sql_functions.register(spark, CFG, "silver_view")
+    return spark.sql(
+        "SELECT trade_date, desk, count(*) AS trades, sum(notional_eur) AS eur "
+        "FROM trades_between(DATE'2024-01-08', DATE'2024-01-14') GROUP BY trade_date, desk"
+    )
+
+
 def buy_sell_volume(spark, sf_dir):
     return _mart("mart_top_instruments")(spark, sf_dir).select(
         "instrument", "desk", "buy_volume_eur", "sell_volume_eur", "net_volume_eur"
@@ -188,6 +230,28 @@ def distinct_counts(spark, sf_dir):
     )
 
 
+def _state(spark, sf_dir):
+    """The instruments mart's state per date: cells, and traders and regions as bitmaps."""
+    cube = checkpointed(_cube(spark, sf_dir))
+    numbers = checkpointed(incremental.number_values(cube, None))
+    cells = gold.rolled_up(cube, incremental.INSTRUMENT_KEYS)
+    return cells, incremental.seen(cube, numbers, incremental.INSTRUMENT_KEYS)
+
+
+def distinct_by_bitmaps(spark, sf_dir):
+    """Distinct traders and regions, united over the bitmaps of the dates."""
+    _, sets = _state(spark, sf_dir)
+    return incremental.distinct_counts(sets, ("instrument", "desk"))
+
+
+def mart_top_instruments_merged(spark, sf_dir):
+    return incremental.instruments_from_state(*_state(spark, sf_dir))
+
+
+def mart_risk_exposure_merged(spark, sf_dir):
+    return gold.risk_exposure(gold.rolled_up(_cube(spark, sf_dir), incremental.EXPOSURE_KEYS), CFG)
+
+
 def anomaly_rate(spark, sf_dir):
     return _mart("mart_risk_exposure")(spark, sf_dir).select(
         "trader_id", "desk", "region", "anomaly_trades", "total_trades", "anomaly_rate_pct"
@@ -308,14 +372,21 @@ QUERIES: dict[str, Query] = {
         "trade_id", "is_anomaly", "velocity_flag", "alert_level"
     ),
     "silver_trades": _silver,
+    "silver_zorder": silver_zorder,
     "stg_trades": _staged,
     "int_trade_enriched": _enriched,
     "calendar_features": calendar_features,
     "exposure_tier": exposure_tier,
     "cents_to_euros": cents_to_euros,
+    "cents_to_euros_sql": cents_to_euros_sql,
+    "fx_conversion_sql": fx_conversion_sql,
+    "trades_between": trades_between,
     "mart_daily_volume": _mart("mart_daily_volume"),
     "mart_risk_exposure": _mart("mart_risk_exposure"),
     "mart_top_instruments": _mart("mart_top_instruments"),
+    "mart_risk_exposure_merged": mart_risk_exposure_merged,
+    "mart_top_instruments_merged": mart_top_instruments_merged,
+    "distinct_by_bitmaps": distinct_by_bitmaps,
     "buy_sell_volume": buy_sell_volume,
     "conditional_counts": conditional_counts,
     "worst_alert": worst_alert,

@@ -61,22 +61,35 @@ def test_the_plan_does_not_depend_on_the_number_of_rows(spark):
         spark.conf.set(key, before)
 
 
-def test_registered_queries_show_cuts(spark):
-    """Every busy trader-hour of the test tables is cut, some into more than a block."""
+def test_every_trade_may_be_a_cut(spark):
+    """Cut as finely as can be, busy trader-hours have more cuts than a block holds."""
+    cut = replace(CFG, segment_rows=1, samples_per_cut=1, cuts_per_block=2)
     found = cut_points(
-        registry._featured(spark, "/root/testdata/sf0.01"),
-        features.TRADER_HOUR, features.TIME_ORDER, registry.CUT,
+        registry._featured(spark, "/root/testdata/sf0.01"), features.TRADER_HOUR, features.TIME_ORDER, cut
     ).groupBy(*features.TRADER_HOUR).count()
     most = found.agg({"count": "max"}).first()[0]
-    assert found.count() > 1000 and most > registry.CUT.cuts_per_block
+    assert found.count() > 1000 and most > cut.cuts_per_block
+
+
+def test_fine_cuts_change_nothing(spark):
+    cut = replace(registry.CFG, segment_rows=1, samples_per_cut=1, cuts_per_block=2)
+    featured = registry._featured(spark, SMALL)
+    columns = ("trade_id", "trades_in_hour", "velocity_flag", "trader_daily_notional_run")
+    whole, fine = (features.add_activity(featured, c).select(*columns) for c in (registry.CFG, cut))
+    assert fine.exceptAll(whole).isEmpty() and whole.exceptAll(fine).isEmpty()
 
 
 def test_no_window_over_everything(spark):
+    """What a single task sees of a ranking is one row per partition of the sorted keys."""
     for name in ("mart_top_instruments", "sorted_daily_volume", "instrument_ranking"):
         lines = executed_plan(registry.queries()[name](spark, SMALL)).splitlines()
         windows = [i for i, row in enumerate(lines) if "Window [" in row]
-        below = [next(row for row in lines[i:] if "Exchange" in row) for i in windows]
-        assert windows and not any("SinglePartition" in row for row in below)
+        assert windows and all("_part" in lines[i] for i in windows)
+
+
+def test_ranking_does_not_read_the_trades_again(spark):
+    """The totals are stored; the mart's plan is built on them."""
+    assert scans(registry.queries()["mart_top_instruments"](spark, SMALL), "event_id") == 0
 
 
 def scans(df, column):
@@ -130,7 +143,7 @@ def test_inserting_does_not_shuffle_a_bucketed_bronze(spark, cfg):
 
 def test_marts_read_the_cube_not_the_trades(spark):
     """The distinct counts expand cube cells; the trades are grouped before."""
-    plan = executed_plan(gold.top_instruments(registry._cube(spark, SMALL)))
+    plan = executed_plan(gold.instrument_totals(registry._cube(spark, SMALL)))
     assert plan.index("Expand") < plan.index("partial_count(trade_id")
 
 

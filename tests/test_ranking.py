@@ -9,21 +9,38 @@ from pyspark.sql import functions as F
 
 from blotter.config import Config
 from blotter.operators import features
-from blotter.operators.ranking import descending, with_rank
+from blotter.operators.ranking import descending, with_place, with_ranks
 
 
-@pytest.mark.parametrize("part_rows", [1, 3, 10**6])
-def test_rank_equals_sorting(spark, part_rows):
+@pytest.mark.parametrize("partitions", ["1", "3", "40"])
+def test_rank_and_place_equal_sorting(spark, partitions):
     rng = random.Random(4)
-    values = [rng.choice([None, *range(40)]) for _ in range(300)]
-    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v int")
+    values = [rng.choice([None, *range(40)]) for _ in range(300)] + [7] * 150
+    other = [rng.random() for _ in values]
+    df = spark.createDataFrame(
+        [(i, v, o) for i, (v, o) in enumerate(zip(values, other))], "id int, v int, o double"
+    )
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        orders = {"place": descending(F.col("v")), "by_o": F.struct("o")}
+        ranked = with_ranks(df, orders, ["id"])
+        assert dict(ranked.dtypes)["place"] == "int"
+        found = ranked.collect()
+        placed = with_place(df, descending(F.col("v")), "nth", ["id"]).collect()
+        assert with_ranks(df.limit(0), orders, ["id"]).collect() == []
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     key = lambda v: (v is None, -(v or 0))
     ordered = sorted(key(v) for v in values)
-    ranked = with_rank(df, descending(F.col("v")), "place", part_rows)
-    assert dict(ranked.dtypes)["place"] == "int"
-    for r in ranked.collect():
+    assert len(found) == len(values)
+    for r in found:
         assert r.place == ordered.index(key(r.v)) + 1
-    assert with_rank(df.limit(0), descending(F.col("v")), "place", part_rows).collect() == []
+        assert r.by_o == sorted(other).index(r.o) + 1
+    assert [r.id for r in sorted(placed, key=lambda r: r.nth)] == sorted(
+        range(len(values)), key=lambda i: (key(values[i]), i)
+    )
+    assert sorted(r.nth for r in placed) == list(range(1, len(values) + 1))
 
 
 def test_two_rates_for_one_instrument_are_an_error(spark):
