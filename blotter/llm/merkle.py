@@ -38,6 +38,9 @@ FANOUT = 3
 # A block has fanout ** block_levels rows.
 BLOCK_LEVELS = 7
 
+# So many paths, of up to some kilobytes each, may be broadcast.
+BROADCAST_PATHS = 5_000
+
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 WHOLE_NUMBERS = ("doc_id", "n_chars")
 
@@ -256,7 +259,7 @@ def _trees(rows: DataFrame, order: Sequence[str], fanout: int, block_levels: int
         "t", F.col("b").alias("_b"), F.col("root").alias("top"), "path"
     )
     same = (tree(F.col("g")) == F.col("t")) & (F.col("b") == F.col("_b"))
-    return packed.join(small_enough(grown), same).drop("t", "_b")
+    return packed.join(small_enough(grown, BROADCAST_PATHS), same).drop("t", "_b")
 
 
 # ---- proofs --------------------------------------------------------------------------------
@@ -352,7 +355,7 @@ def manifest(
         )
     )
     blocks = stored(_trees(narrow, ["id", "leaf"], fanout, block_levels))
-    above = small_enough(checkpointed(_group_paths(blocks, fanout)))
+    above = small_enough(checkpointed(_group_paths(blocks, fanout)), BROADCAST_PATHS)
     joined = blocks.join(above, F.col("g").eqNullSafe(F.col("_name")))
     opened = joined.select("g", "n", "ids", "leaves", "changed", "top", "path", "above")
     return opened.mapInArrow(_open(fanout, block_levels), _PROOFS)
