@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import shutil
 import tempfile
@@ -100,6 +101,25 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete a table of stored() that nobody reads any more."""
+    spark = table.sparkSession
+    for path in {os.path.dirname(file) for file in table.inputFiles()}:
+        if "/blotter-llm/" not in path:
+            raise ValueError(f"{path} is no table of stored()")
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of results that were stored since.
+
+    It does so when the driver has collected their last references, which may be long after.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def small_enough(table: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Mark a checkpointed table for broadcast if its rows, counted, are at most `limit`.
 

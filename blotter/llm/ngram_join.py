@@ -9,8 +9,9 @@ token is the first that two sets share, everything before it is in one of them o
 keeps an entry only if some other entry leaves enough room for that.
 
 Set relations. Each list names one leader, the set with the fewest dropped tokens, so that
-the lists of a family of near copies agree on one. The sets of all its lists meet there and are
-compared with each other once, instead of once per shared token: overlaps come from one product
+the lists of a family of near copies agree on one. The sets of all its lists meet there, first as
+sketches of short hashes, which bound what two sets share: pairs below the bound are done with. What is
+left falls into groups. A whole set is sent to its one group, where overlaps come from one product
 of the members' incidence matrix. Sets that are equal were made one before, and a meeting
 answers with one link per member, not per pair. A large meeting is split into pairs of chunks.
 
@@ -34,8 +35,10 @@ from pyspark.sql import functions as F
 
 from blotter.llm.common import (
     checkpointed,
+    discard,
     given_id,
     keyed,
+    release,
     small_enough,
     stored,
     with_key,
@@ -156,12 +159,18 @@ def meetings(entries: DataFrame) -> DataFrame:
             F.max("room").alias("most"), F.min(F.struct("own", "x")).getField("x").alias("leader")
         )
     )
-    members = checkpointed(
+    members = (
         placed.join(lists, "t")
         .where(F.col("room") + F.col("most") >= 0)
         .groupBy("leader", "x")
         .agg(F.max("n").alias("n"))
     )
+    return invitations(members)
+
+
+def invitations(members: DataFrame) -> DataFrame:
+    """x and `at`, the meetings (leader, i, j) of its chunk of every group (leader, x, n) it is in."""
+    members = checkpointed(members)
     chunks = F.greatest(F.ceil(F.col("size") / MEETING), F.ceil(F.col("tokens") / MEETING_TOKENS))
     sizes = checkpointed(
         members.groupBy("leader")
@@ -177,34 +186,58 @@ def meetings(entries: DataFrame) -> DataFrame:
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)).alias("o"),
     )
     place = F.struct("leader", F.least("c", "o").alias("i"), F.greatest("c", "o").alias("j"))
-    return met.groupBy("x").agg(F.collect_list(place).alias("at"))
+    return checkpointed(met.groupBy("x").agg(F.collect_list(place).alias("at")))
 
 
-def similar(sets: list[np.ndarray]) -> np.ndarray:
-    """Which of the sets are similar, as a matrix."""
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """How many tokens each two of the sets share, as a matrix; its diagonal is of no use."""
     sizes = np.array([len(s) for s in sets])
     tokens, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     row = np.repeat(np.arange(len(sets)), sizes)
     column = (np.cumsum(times > 1) - 1)[at]
-    usable = (times > 1)[at]
+    usable = (times > 1)[at]  # tokens of one set only are not counted
     row, column = row[usable], column[usable]
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
-    overlap = np.zeros((len(sets), len(sets)))
+    shared = np.zeros((len(sets), len(sets)))
     for start in range(0, int((times > 1).sum()), COLUMNS):
         a, b = np.searchsorted(column, [start, start + COLUMNS])
         part = np.zeros((len(sets), COLUMNS), dtype=np.float32)
         part[row[a:b], column[a:b] - start] = 1
-        overlap += part @ part.T
-    alike = 100 * overlap >= PERCENT * (sizes[:, None] + sizes[None, :] - overlap)
-    np.fill_diagonal(alike, True)  # tokens of one set only are not counted
+        shared += part @ part.T
+    return shared
+
+
+def _alike(shared: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    alike = 100 * shared >= PERCENT * (sizes[:, None] + sizes[None, :] - shared)
+    np.fill_diagonal(alike, True)
     return alike
 
 
-def _meet(table: pa.Table) -> pa.Table:
+def similar(sets: list[np.ndarray]) -> np.ndarray:
+    """Which of the sets are similar, as a matrix."""
+    return _alike(overlaps(sets), np.array([len(s) for s in sets]))
+
+
+def maybe_similar(sketches: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
+    """Which of the sets may be similar by their sketches; every similar pair is among these.
+
+    Tokens that two sets share have the same short hash in both. One short hash stands for several
+    tokens of a set as often as the set has fewer short hashes than tokens, so what the sketches
+    share and that number bound what the sets share.
+    """
+    folded = sizes - np.array([len(s) for s in sketches])
+    most = overlaps(sketches) + np.minimum(folded[:, None], folded[None, :])
+    return _alike(np.minimum(most, np.minimum(sizes[:, None], sizes[None, :])), sizes)
+
+
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """The distinct short hashes of a set, a quarter of its size or less."""
+    return np.unique((tokens >> np.uint64(48)).astype(np.uint16))
+
+
+def _one_link_each(docs: np.ndarray, alike: np.ndarray) -> pa.Table:
     """One link per member of a class found here, to its smallest member."""
-    docs = table["x"].to_numpy()
-    alike = similar([np.frombuffer(s, dtype=np.uint64) for s in table["tokens"].to_pylist()])
     least = docs.copy()
     while True:
         spread = np.where(alike, least[None, :], np.iinfo(np.int64).max).min(axis=1)
@@ -214,39 +247,71 @@ def _meet(table: pa.Table) -> pa.Table:
     return pa.table({"u": docs[docs != least], "v": least[docs != least]})
 
 
-def links(docs: DataFrame, equal: DataFrame) -> DataFrame:
-    """u and v: enough pairs of similar documents to connect all that are similar.
+def _meet(table: pa.Table) -> pa.Table:
+    sets = [np.frombuffer(s, dtype=np.uint64) for s in table["tokens"].to_pylist()]
+    return _one_link_each(table["x"].to_numpy(), similar(sets))
 
-    `equal` has the key (k1, k2) of every set and the first document with it, which stands for all.
-    """
-    met = meetings(index_entries(docs))
-    invited = checkpointed(met.join(equal, met["x"] == equal["k1"]).select(F.col("first").alias("x"), "at"))
+
+def _meet_roughly(table: pa.Table) -> pa.Table:
+    sketches = [np.frombuffer(s, dtype=np.uint16) for s in table["tokens"].to_pylist()]
+    return _one_link_each(table["x"].to_numpy(), maybe_similar(sketches, table["n"].to_numpy()))
+
+
+def _gathered(docs: DataFrame, invited: DataFrame, roughly: bool) -> DataFrame:
+    """The links found at the meetings (x, at), to which sets come whole or as sketches."""
 
     def bring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for (doc, tokens), at in zip(_sets(iter([batch])), batch.column("at").to_pylist()):
                 if len(tokens):
+                    brought = (sketch(tokens) if roughly else tokens).tobytes()
                     yield pa.record_batch(
                         {name: pa.array([a[name] for a in at], pa.int64()) for name in ("leader", "i", "j")}
                         | {
                             "x": pa.array([doc] * len(at), pa.int64()),
-                            "tokens": pa.array([tokens.tobytes()] * len(at), pa.binary()),
+                            "n": pa.array([len(tokens)] * len(at), pa.int64()),
+                            "tokens": pa.array([brought] * len(at), pa.binary()),
                         }
                     )
 
     guests = keyed(docs).join(invited, F.col("_id") == F.col("x")).select("_id", "_th", "_text", "at")
-    brought = guests.mapInArrow(bring, "leader long, i long, j long, x long, tokens binary")
-    return brought.groupBy("leader", "i", "j").applyInArrow(_meet, "u long, v long")
+    brought = guests.mapInArrow(bring, "leader long, i long, j long, x long, n long, tokens binary")
+    meet = _meet_roughly if roughly else _meet
+    return brought.groupBy("leader", "i", "j").applyInArrow(meet, "u long, v long")
+
+
+def links(docs: DataFrame, equal: DataFrame) -> DataFrame:
+    """u and v: enough pairs of similar documents to connect all that are similar.
+
+    `equal` has the key (k1, k2) of every set, its size n and the first document with it, which
+    stands for all. To the meetings of the index come sketches; what they leave possible falls into
+    groups, and a whole set is sent to its one group only.
+    """
+    entries = index_entries(docs)
+    met = meetings(entries)
+    discard(entries)
+    firsts = equal.select("k1", F.col("first").alias("x"))
+    invited = checkpointed(met.join(firsts, met["x"] == firsts["k1"]).select(firsts["x"], "at"))
+    possible = components(_gathered(docs, invited, roughly=True))
+    release(docs.sparkSession)
+    members = possible.select(F.col("v").alias("leader"), F.col("u").alias("x"))
+    heads = possible.select(F.col("v").alias("leader"), F.col("v").alias("x")).distinct()
+    sizes = equal.select(F.col("first").alias("x"), "n")
+    grouped = members.union(heads).join(sizes, "x")
+    return _gathered(docs, invitations(grouped.select("leader", "x", "n")), roughly=False)
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """Per row: _id, n_shingles and component, the smallest id it is connected with."""
     keys = checkpointed(set_keys(docs))
     equal = checkpointed(
-        keys.where(F.col("k1").isNotNull()).groupBy("k1", "k2").agg(F.min("_id").alias("first"))
+        keys.where(F.col("k1").isNotNull()).groupBy("k1", "k2").agg(
+            F.min("_id").alias("first"), F.max("n_shingles").alias("n")
+        )
     )
     copies = keys.join(equal, ["k1", "k2"]).select(F.col("_id").alias("u"), F.col("first").alias("v"))
     found = components(copies.union(links(docs, equal)))
+    release(docs.sparkSession)
     joined = keys.join(found, keys["_id"] == found["u"], "left")
     return joined.select("_id", "n_shingles", F.coalesce("v", "_id").alias("component"))
 
@@ -256,10 +321,19 @@ def class_report(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents, of each class only the one with the smallest id."""
+    """The documents, of each class only the one with the smallest id.
+
+    Rows that agree in id and text are one document, and so are rows without an id that agree in
+    text: one of them stays, the first by its JSON.
+    """
     gone = checkpointed(classes(docs).where(F.col("component") != F.col("_id")).select("_id").distinct())
-    return (
-        with_key(docs)
-        .join(small_enough(gone), "_id", "left_anti")
-        .select("_row.*")
-    )
+    rows = with_key(docs)
+    row = ["_id", "_th"]
+    repeated = checkpointed(rows.groupBy(*row).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*row))
+    kept = rows.join(small_enough(gone), "_id", "left_anti")
+    single = kept.join(small_enough(repeated), row, "left_anti").select("_row.*")
+    if repeated.isEmpty():
+        return single
+    again = kept.join(small_enough(repeated), row, "left_semi")
+    one = again.groupBy(*row).agg(F.min_by("_row", F.to_json("_row")).alias("_row"))
+    return single.unionByName(one.select("_row.*"))

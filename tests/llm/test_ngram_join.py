@@ -116,3 +116,21 @@ def test_components(spark, edges):
     wanted = sorted((x, find(x)) for x in parent if find(x) != x)
     frame = spark.createDataFrame(edges, "u long, v long")
     assert sorted((r.u, r.v) for r in components.components(frame).collect()) == wanted
+
+
+def test_sketches_bound_what_sets_share():
+    """A similar pair is never ruled out, also where short hashes collide very often."""
+    rng = np.random.default_rng(6)
+    for size in (3, 40, 1000, 60_000):
+        base = rng.integers(0, 2**63, size).astype(np.uint64)
+        base = np.unique(base)
+        sets = [base]
+        for changed in (0.0, 0.05, 0.12, 0.14, 0.2, 0.5):
+            keep = base[rng.random(len(base)) >= changed]
+            new = rng.integers(0, 2**63, int(changed * len(base))).astype(np.uint64)
+            sets.append(np.unique(np.concatenate([keep, new])))
+        truly = ngram_join.similar(sets)
+        maybe = ngram_join.maybe_similar([ngram_join.sketch(s) for s in sets], np.array([len(s) for s in sets]))
+        assert not (truly & ~maybe).any()
+        if 40 <= size <= 1000:
+            assert not maybe[0, -1]
