@@ -144,6 +144,52 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE
 """
 
 
+_WORDS = r"regexp_extract_all(coalesce({text}, ''), '[^\x20\x09-\x0D]+')"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP7_SQL = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, {_WORDS.format(text=_LOWER)} AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) >= 5
+      THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS shingles
+  FROM words
+), tokens AS (
+  SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets
+), links AS (
+  SELECT a.doc_id AS u, b.doc_id AS v FROM tokens a JOIN tokens b USING (shingle) WHERE a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT doc_id AS u, doc_id AS v FROM sets
+  UNION
+  SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u
+)
+SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, component_id
+FROM sets JOIN (SELECT u AS doc_id, min(v) AS component_id FROM reach GROUP BY u) USING (doc_id)
+"""
+
+OP9_SQL = f"""
+WITH words AS (
+  SELECT doc_id, {_WORDS.format(text="text")} AS w FROM documents
+), placed AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos, len(w) AS n_words,
+    unnest(list_transform(range(1, len(w) + 1), lambda i: CASE WHEN i + 34 <= len(w) THEN md5(array_to_string(w[i:i + 34], ' ')) END)) AS win
+  FROM words
+), counted AS (
+  SELECT *, win IS NOT NULL AND count(*) OVER (PARTITION BY win) > 1 AS again FROM placed
+), judged AS (
+  SELECT *, bool_or(again) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
+  FROM counted
+), kept AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone) AS text
+  FROM judged GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+
+
 def _crc32_sql(text: str) -> str:
     """The unsigned CRC of a text's UTF-8 bytes, bit by bit."""
     octets = f"list_transform(range(octet_length(encode({text}))), lambda i: ('0x' || hex(encode({text}))[2 * i + 1:2 * i + 2])::UBIGINT)"
@@ -273,6 +319,8 @@ QUERIES: dict[str, Query] = {
 SQL: dict[str, str] = {
     "op1_line_dedup": OP1_SQL,
     "op6_topk": OP6_SQL,
+    "op7_ngram_join": OP7_SQL,
+    "op9_substring_dedup": OP9_SQL,
     "op11_spelling_variants": OP11_SQL,
     "op12_merkle_manifest": OP12_SQL,
 }
