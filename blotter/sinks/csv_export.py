@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from uuid import uuid4
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from blotter.config import GOLD_TABLES, Config
 from blotter.plans.gold import READING_ORDER, in_reading_order
 from blotter.sinks.tables import counting
+from blotter.sources import files
 from blotter.sources.tables import read_gold
 
 
@@ -42,20 +44,23 @@ def write_csv(df: DataFrame, path: str) -> int:
 def export_table(
     spark: SparkSession, table: str, output_dir: str, cfg: Config, one_part: bool = False
 ) -> Exported:
-    """One mart in reading order: parts whose names follow the order, or on request a single one.
+    """One mart in reading order: a folder of parts whose names follow the order, or one file.
 
-    The parts are sorted by all tasks. A single part is written by one task, so it is for the
-    caller to ask for, of a mart known to be small.
+    The parts are sorted by all tasks. With `one_part` the table is `<table>.csv`, which one task
+    writes, so it is for the caller to ask for, of a mart known to be small. It is written beside
+    its place and moved there when it is whole.
     """
     path = f"{output_dir}/{table}"
     try:
         mart = read_gold(spark, table, cfg)
-        if one_part:
-            ordered = mart.coalesce(1).sortWithinPartitions(*READING_ORDER[table]())
-        else:
-            ordered = in_reading_order(mart, table)
-        return Exported(table, path, rows=write_csv(ordered, path))
-    except PySparkException as error:
+        if not one_part:
+            return Exported(table, path, rows=write_csv(in_reading_order(mart, table), path))
+        beside = f"{path}.{uuid4().hex}"
+        ordered = mart.coalesce(1).sortWithinPartitions(*READING_ORDER[table]())
+        rows = write_csv(ordered, beside)
+        files.publish_part(spark, beside, f"{path}.csv")
+        return Exported(table, f"{path}.csv", rows=rows)
+    except (PySparkException, OSError) as error:
         return Exported(table, path, error=str(error))
 
 

@@ -47,3 +47,13 @@ def replace(spark: SparkSession, new: str, path: str) -> None:
             system.rename(old, target)
         raise OSError(f"could not move {new} to {path}")
     system.delete(old, True)
+
+
+def publish_part(spark: SparkSession, folder: str, path: str) -> None:
+    """Make the only part file of a finished folder the file at `path`; the folder goes."""
+    source, system = _locate(spark, folder)
+    parts = [f.getPath() for f in system.listStatus(source) if f.getPath().getName().startswith("part-")]
+    if len(parts) != 1:
+        raise OSError(f"{folder} has {len(parts)} part files, not one")
+    replace(spark, parts[0].toString(), path)
+    system.delete(source, True)

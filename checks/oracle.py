@@ -666,6 +666,28 @@ SELECT instrument, desk, count(DISTINCT trader_id) AS unique_traders, count(DIST
 FROM enriched GROUP BY instrument, desk
 """)
     sql["silver_zorder"] = _query(tuple(f"{c}_buckets" for c in _Z_COLUMNS), _z_key())
+    # Truncated lines and lines with two objects are no records.
+    kinds = {"notional": "'number'", "price": "'number'", "is_anomaly": "'boolean'"}
+    fields = [
+        (f, f, f"CASE WHEN {f} IS NULL THEN 'null' WHEN {'variant = 3' if f == 'counterparty' else 'false'} "
+               f"THEN 'number' ELSE {kinds.get(f, chr(39) + 'string' + chr(39))} END",
+         "number % 7 <> 0" if f == "price" else "true")
+        for f in _FIELDS
+    ] + [("px", "price", "'number'", "number % 7 = 0")]
+    cells = " UNION ALL ".join(
+        f"SELECT '{name}' AS field, {kind} AS kind FROM landing WHERE variant NOT IN (1, 2) AND {there}"
+        for name, _, kind, there in fields
+    )
+    sql["landing_drift"] = _query("landing", f"""
+SELECT field, CASE WHEN field = 'px' THEN 'added' WHEN n_present < total THEN 'missing'
+                   WHEN n_unexpected > 0 THEN 'retyped' ELSE 'as_declared' END AS status,
+       n_present, total - n_present AS n_missing,
+       CASE WHEN field <> 'px' THEN n_unexpected END AS n_unexpected, kinds
+FROM (SELECT field, count(*) AS n_present, string_agg(DISTINCT kind, ',' ORDER BY kind) AS kinds,
+             count(*) FILTER (field = 'counterparty' AND kind = 'number') AS n_unexpected
+      FROM ({cells}) GROUP BY field),
+     (SELECT count(*) AS total FROM landing WHERE variant NOT IN (1, 2))
+""")
     sql["cents_to_euros_sql"] = sql["cents_to_euros"]
     sql["fx_conversion_sql"] = sql["fx_conversion"]
     sql["trades_between"] = _query("silver", """

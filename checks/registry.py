@@ -25,7 +25,7 @@ from blotter.plans import gold, incremental, jobs
 from blotter.plans.silver import silver
 from blotter.session import checkpointed, prepare
 from blotter.sinks import tables as sink
-from blotter.sources import landing, tables, trades_view
+from blotter.sources import drift, landing, tables, trades_view
 from blotter.streaming.velocity import velocity_counts
 
 # The sparse test data never reach ten trades of a trader in an hour.
@@ -299,6 +299,15 @@ def landing_validate(spark, sf_dir):
     )
 
 
+def landing_drift(spark, sf_dir):
+    """The landing lines against the contract; every seventh trade names its price differently."""
+    seventh = F.regexp_extract("value", "T([0-9]{10})", 1).try_cast("bigint") % 7 == 0
+    renamed = F.replace("value", F.lit('"price"'), F.lit('"px"'))
+    lines = trades_view.landing_lines(spark, sf_dir)
+    changed = lines.select(F.when(seventh, renamed).otherwise(F.col("value")).alias("value"))
+    return drift.drift(drift.variants(changed))
+
+
 def fx_conversion_table(spark, sf_dir):
     """The conversion with a rate table a caller brings."""
     rates = trades_view.counted_rates(_trades(spark, sf_dir))
@@ -342,6 +351,7 @@ QUERIES: dict[str, Query] = {
     "bronze_fresh": bronze_fresh,
     "landing_parse": landing_parse,
     "landing_validate": landing_validate,
+    "landing_drift": landing_drift,
     "table_by_sql_path": table_by_sql_path,
     "staged_view": staged_view,
     "sample_size": sample_size,

@@ -269,12 +269,15 @@ def test_export_is_in_reading_order(spark, cfg, landing, one_part):
     nets = [float(row["net_exposure_eur"]) for row in exported(done.path)]
     assert nets == sorted(nets, reverse=True) and len(nets) == done.rows == 200
     if one_part:
-        assert len(list(Path(done.path).glob("part-*.csv"))) == 1
+        assert done.path == f"{cfg.root}/export/mart_risk_exposure.csv" and Path(done.path).is_file()
+        export(spark, f"{cfg.root}/export", cfg, ["mart_risk_exposure"], one_part)
+        visible = [p.name for p in Path(cfg.root, "export").iterdir() if not p.name.startswith(".")]
+        assert visible == ["mart_risk_exposure.csv"]
 
 
 def exported(path):
-    """The rows of all parts, in the order of their names."""
-    parts = sorted(Path(path).glob("part-*.csv"))
+    """The rows of all parts, in the order of their names, or of the one file."""
+    parts = [Path(path)] if Path(path).is_file() else sorted(Path(path).glob("part-*.csv"))
     return [row for part in parts for row in csv.DictReader(part.open(encoding="utf-8"))]
 
 
