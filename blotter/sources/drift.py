@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blotter.operators.validate import FIELDS, TEXT_FIELDS
+from blotter.sources.landing import is_one_object
 
 _NUMBERS = ("notional", "price")
 # What each field of the contract may be. Amounts and flags may come as text, which is cast.
@@ -27,9 +28,10 @@ ADDED, MISSING, RETYPED, AS_DECLARED = "added", "missing", "retyped", "as_declar
 
 
 def variants(lines: DataFrame) -> DataFrame:
-    """Lines (`value`) as variants `v`. Lines that are no JSON object are left out."""
-    parsed = lines.select(*[c for c in lines.columns if c != "value"], F.try_parse_json("value").alias("v"))
-    return parsed.where(F.schema_of_variant("v").startswith("OBJECT"))
+    """Lines (`value`) as variants `v`, null where a line is not exactly one JSON object."""
+    others = [c for c in lines.columns if c != "value"]
+    parsed = F.when(is_one_object(F.col("value")), F.try_parse_json("value"))
+    return lines.select(*others, parsed.alias("v"))
 
 
 def infer_schema(records: DataFrame) -> str | None:
@@ -42,7 +44,7 @@ def infer_schema(records: DataFrame) -> str | None:
 
 def infer(lines: DataFrame) -> DataFrame:
     """Records as columns, with the schema found in them. Values of different kinds stay variants."""
-    records = variants(lines)
+    records = variants(lines).where(F.col("v").isNotNull())
     schema = infer_schema(records)
     if schema is None or schema == "STRUCT<>":
         return records.select().limit(0)
@@ -58,7 +60,7 @@ def kind(value: Column) -> Column:
 
 def field_kinds(records: DataFrame) -> DataFrame:
     """Per field and kind of its values the number of records, over all records `v`."""
-    fields = records.select("v").lateralJoin(records.sparkSession.tvf.variant_explode(F.col("v").outer()))
+    fields = records.select("v").lateralJoin(records.sparkSession.tvf.variant_explode(F.col("v").outer()))  # none of a null
     return fields.groupBy(F.col("key").alias("field"), kind(F.col("value")).alias("kind")).agg(
         F.count(F.lit(1)).alias("n_records")
     )
@@ -74,7 +76,7 @@ def drift(records: DataFrame, expected: Mapping[str, tuple[str, ...]] = EXPECTED
     spark = records.sparkSession
     names = F.array(*[F.struct(F.lit(n).alias("field"), F.array(*map(F.lit, k)).alias("may")) for n, k in expected.items()])
     contract = spark.range(1).select(F.inline(names))
-    total = records.agg(F.count(F.lit(1))).scalar()
+    total = records.agg(F.count("v")).scalar()
     met = (
         field_kinds(records)
         .join(F.broadcast(contract), "field", "left")  # a row per declared field

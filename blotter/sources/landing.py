@@ -26,7 +26,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def _is_one_object(line: Column) -> Column:
+def is_one_object(line: Column) -> Column:
     """Whether the whole line is one JSON object.
 
     The record parser stops after the first value, so `{...} rest` passes it. Inside brackets
@@ -56,7 +56,7 @@ def parse(lines: DataFrame) -> DataFrame:
         *others, line.alias(RAW), F.from_json(line, _SCHEMA, _OPTIONS).alias("j")
     )
     raw = F.col(RAW)
-    broken = F.col("j").isNull() | F.col(f"j.{_CORRUPT}").isNotNull() | ~_is_one_object(raw)
+    broken = F.col("j").isNull() | F.col(f"j.{_CORRUPT}").isNotNull() | ~is_one_object(raw)
     wrong_type = [_not_text(raw, name, F.col(f"j.{name}")) for name in TEXT_FIELDS]
     return parsed.select(
         *others,

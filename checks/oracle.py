@@ -671,9 +671,9 @@ FROM enriched GROUP BY instrument, desk
     fields = [
         (f, f, f"CASE WHEN {f} IS NULL THEN 'null' WHEN {'variant = 3' if f == 'counterparty' else 'false'} "
                f"THEN 'number' ELSE {kinds.get(f, chr(39) + 'string' + chr(39))} END",
-         "number % 7 <> 0" if f == "price" else "true")
+         "number % 10 <> 7" if f == "price" else "true")
         for f in _FIELDS
-    ] + [("px", "price", "'number'", "number % 7 = 0")]
+    ] + [("px", "price", "'number'", "number % 10 = 7")]
     cells = " UNION ALL ".join(
         f"SELECT '{name}' AS field, {kind} AS kind FROM landing WHERE variant NOT IN (1, 2) AND {there}"
         for name, _, kind, there in fields
