@@ -4,7 +4,8 @@
 2. Spark's higher-order functions encode those words: a fold over a word's pieces, at first its
    single bytes, merges the adjacent pair of the lowest rank until no pair is in the vocabulary. The
    ranks are a literal of the plan: an array of buckets, found by the pair's CRC, of pairs and ranks.
-   Each step looks up only the two pairs that a merge creates.
+   Each step looks up only the two pairs that a merge creates. A word of more than LONG_WORD bytes, for
+   which that would take quadratic time, has been merged with a heap in step 1, by the same order.
 3. Decoding maps ids to their binary pieces, a literal array, and concatenates them.
 4. The same task puts the documents together from the ids and decoded bytes of its words.
 
@@ -18,6 +19,7 @@ and ids, null ids too, give a row each. Strings that look like special tokens ar
 from __future__ import annotations
 
 import base64
+import heapq
 import json
 import zlib
 from collections.abc import Callable, Iterator
@@ -25,6 +27,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +41,13 @@ MOST_WORDS = 1_000_000
 # Documents that travel together.
 BLOCK_BYTES = 4 << 20
 
+# A fold takes time with the square of a word's length; longer words than this are merged with a heap.
+LONG_WORD = 256
+
 _RANKS = "array<array<struct<k: binary, v: int>>>"
-_WORDS = "words array<binary>, forget boolean, docs array<struct<_id: bigint, idx: binary>>"
+_WORDS = (
+    "words array<binary>, ready array<array<int>>, forget boolean, docs array<struct<_id: bigint, idx: binary>>"
+)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -136,6 +144,43 @@ def decode(ids: Column, pieces: Column) -> Column:
     return F.unhex(F.array_join(F.transform(ids, lambda i: F.hex(F.get(pieces, i))), ""))
 
 
+def encode_long(ranks: dict[bytes, int], word: bytes) -> list[int]:
+    """The ids of a word, in time that hardly grows faster than the word.
+
+    The fold's merges in the fold's order: the lowest rank first, from left to right, by a heap of the
+    pairs there are.
+    """
+    if word in ranks:
+        return [ranks[word]]
+    pieces: list[bytes | None] = [word[at : at + 1] for at in range(len(word))]
+    after = [*range(1, len(word)), None]
+    before = [None, *range(len(word) - 1)]
+    heap = [
+        (ranks[pair], place)
+        for place in range(len(word) - 1)
+        if (pair := word[place : place + 2]) in ranks
+    ]
+    heapq.heapify(heap)
+    while heap:
+        rank, place = heapq.heappop(heap)
+        other = after[place]
+        if other is None or pieces[place] is None:
+            continue
+        piece = pieces[place] + pieces[other]
+        if ranks.get(piece) != rank:
+            continue
+        pieces[place], pieces[other] = piece, None
+        beyond = after[place] = after[other]
+        after[other] = None
+        if beyond is not None:
+            before[beyond] = place
+            if (pair := piece + pieces[beyond]) in ranks:
+                heapq.heappush(heap, (ranks[pair], place))
+        if (left := before[place]) is not None and (pair := pieces[left] + piece) in ranks:
+            heapq.heappush(heap, (ranks[pair], left))
+    return [ranks[piece] for piece in pieces if piece is not None]
+
+
 class _Words(dict):
     """Numbers words as they come; `fresh` are those not encoded yet."""
 
@@ -149,8 +194,8 @@ class _Words(dict):
         return number
 
 
-def _split(pattern: str):
-    """Documents to blocks: new words, and every document as word numbers."""
+def _split(pattern: str, shared: Broadcast):
+    """Documents to blocks: new words, and every document as word numbers. Long words come encoded."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = regex.compile(pattern).findall
@@ -159,7 +204,10 @@ def _split(pattern: str):
 
         def flush() -> pa.RecordBatch:
             nonlocal docs, size, forget, known
-            row = {"words": [w.encode() for w in known.fresh], "forget": forget, "docs": docs}
+            words = [w.encode() for w in known.fresh]
+            ready = [encode_long(shared.value, w) if len(w) > LONG_WORD else None for w in words]
+            words = [w if r is None else b"" for w, r in zip(words, ready)]
+            row = {"words": words, "ready": ready, "forget": forget, "docs": docs}
             known.fresh = []
             docs, size, forget = [], 0, len(known) >= MOST_WORDS
             if forget:
@@ -167,6 +215,7 @@ def _split(pattern: str):
             schema = pa.schema(
                 [
                     ("words", pa.list_(pa.binary())),
+                    ("ready", pa.list_(pa.list_(pa.int32()))),
                     ("forget", pa.bool_()),
                     ("docs", pa.list_(pa.struct([("_id", pa.int64()), ("idx", pa.binary())]))),
                 ]
@@ -217,10 +266,14 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NULL_ID)).alias("_id"),
         F.coalesce(F.col("text"), F.lit("")).alias("_text"),
     )
-    blocks = texts.mapInArrow(_split(pattern), _WORDS)
-    coded = _let(
-        rank_literal(ranks), lambda table: F.transform("words", lambda w: encode_word(table, w))
-    )
+    shared = docs.sparkSession.sparkContext.broadcast(ranks)  # as large as a vocabulary
+    blocks = texts.mapInArrow(_split(pattern, shared), _WORDS)
+
+    def ids(table: Column) -> Column:
+        folded = lambda word, ready: F.when(ready.isNotNull(), ready).otherwise(encode_word(table, word))
+        return F.zip_with("words", "ready", folded)
+
+    coded = _let(rank_literal(ranks), ids)
     encoded = blocks.select("forget", "docs", coded.alias("ids"))
     plain = _let(piece_literal(ranks), lambda t: F.transform("ids", lambda ids: decode(ids, t)))
     whole = encoded.select("forget", "docs", "ids", plain.alias("plain")).mapInArrow(

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import struct
+import time
 from collections import Counter
 
 import public_tokenizers
@@ -69,3 +70,34 @@ def test_decoding_is_native(spark):
     out = ids.select(byte_bpe.decode(F.col("ids"), byte_bpe.piece_literal(ranks)).alias("d"))
     assert [bytes(r.d) for r in out.collect()] == [b"Hel", b""]
     assert "Python" not in out._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("alphabet", ["a", "ab", "etaoinshrdlu", "日本語é"])
+def test_long_words(library, alphabet):
+    rng = random.Random(alphabet)
+    for length in (1, 2, 257, 5000):
+        word = "".join(rng.choice(alphabet) for _ in range(length)).encode()
+        assert byte_bpe.encode_long(RANKS, word) == library._encode_single_piece(word)
+
+
+def test_a_very_long_word_takes_seconds(library):
+    rng = random.Random(9)
+    word = "".join(rng.choice("etaoinshrdlu") for _ in range(200_000)).encode()
+    started = time.perf_counter()
+    ids = byte_bpe.encode_long(RANKS, word)
+    assert time.perf_counter() - started < 10
+    tokens = {rank: token for token, rank in RANKS.items()}
+    assert b"".join(tokens[i] for i in ids) == word
+
+
+def test_long_and_short_words_together(documents, library):
+    rng = random.Random(10)
+    texts = [
+        " ".join("".join(rng.choice("etaoin") for _ in range(n)) for n in (3, 255, 256, 257, 3000, 3))
+        for _ in range(4)
+    ]
+    found = byte_bpe.encode(documents(*enumerate(texts)), RANKS, PATTERN).collect()
+    assert len(found) == 4
+    for r in found:
+        ids = library.encode_ordinary(texts[r.doc_id])
+        assert bytes(r.ids) == struct.pack(f"<{len(ids)}I", *ids) and bytes(r.decoded).decode() == texts[r.doc_id]
