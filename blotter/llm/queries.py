@@ -197,6 +197,74 @@ def _crc32_sql(text: str) -> str:
     return f"xor(list_reduce(list_prepend(4294967295::UBIGINT, {octets}), lambda c, b: {shift}), 4294967295::UBIGINT)"
 
 
+def _strength_sql(name: str, children: str, parent: str) -> str:
+    return f"""
+{name}_sums AS (
+  SELECT {parent}, sum(n) AS total, sum(good) / sum(n) AS p, sum(good * good / n) AS gg, sum(n * n) / sum(n) AS nn,
+    count(*) - 1 AS free FROM {children} WHERE n > 0 GROUP BY {parent}
+), {name} AS (
+  SELECT 1 / coalesce(CASE WHEN most > 0 THEN least(greatest(beyond / most, 0.001), 0.999) END, 0.001) - 1 AS strength
+  FROM (SELECT sum(gg - total * p * p - p * (1 - p) * free) AS beyond, sum(p * (1 - p) * (total - nn - free)) AS most
+        FROM {name}_sums)
+)"""
+
+
+def _labels_sql(name: str, labels: int) -> str:
+    return f"array_to_string(string_split({name}, '.')[-{labels}:], '.')"
+
+
+_SUFFIXES_SQL = ", ".join(f"'{name}'" for name in url_reputation.SUFFIXES)
+_NUMBER_SQL = "regexp_full_match({}, '[0-9]+([.][0-9]+){{3}}')"
+_RULES_SQL = " ".join(
+    f"WHEN (host = '{name}' OR suffix(host, '.{name}')) AND starts_with(path, '{rest}') THEN '{{{k}}}'"
+    for k, (_, rule) in enumerate(sorted(url_reputation.RULES, key=lambda r: -len(r[1])))
+    for name, rest in [(rule.split("/", 1)[0], "/" + rule.split("/", 1)[1])]
+)
+_SORTED_RULES = sorted(url_reputation.RULES, key=lambda r: -len(r[1]))
+
+OP5_SQL = f"""
+WITH rests AS (
+  SELECT page_id, coalesce(CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END, '') AS rest FROM pages
+), parsed AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{url_reputation.UPPER}', '{url_reputation.LOWER}') AS host,
+    regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM rests
+), outcomes AS (
+  SELECT host, count(*) AS n, sum(quality) AS good
+  FROM parsed JOIN labels ON doc_id = page_id WHERE quality IS NOT NULL GROUP BY host
+), names AS (
+  SELECT DISTINCT host, regexp_replace(host, ':[0-9]*$', '') AS name FROM parsed
+), hosts AS (
+  SELECT host, CAST(coalesce(n, 0) AS DOUBLE) AS n, CAST(coalesce(good, 0) AS DOUBLE) AS good,
+    CASE WHEN {_NUMBER_SQL.format("name")} THEN name WHEN {_labels_sql("name", 2)} IN ({_SUFFIXES_SQL}) THEN {_labels_sql("name", 3)}
+         ELSE {_labels_sql("name", 2)} END AS domain
+  FROM names LEFT JOIN outcomes USING (host)
+), domains AS (
+  SELECT domain, sum(n) AS n, sum(good) AS good,
+    CASE WHEN {_NUMBER_SQL.format("domain")} THEN '' WHEN {_labels_sql("domain", 2)} IN ({_SUFFIXES_SQL}) THEN {_labels_sql("domain", 2)}
+         ELSE {_labels_sql("domain", 1)} END AS suffix
+  FROM hosts GROUP BY domain
+), suffixes AS (
+  SELECT suffix, sum(n) AS n, sum(good) AS good, 1 AS everything FROM domains GROUP BY suffix
+), overall AS (
+  SELECT CASE WHEN sum(n) > 0 THEN sum(good) / sum(n) ELSE 0.5 END AS rate FROM suffixes
+), {_strength_sql("s1", "suffixes", "everything")}, {_strength_sql("s2", "domains", "suffix")}, {_strength_sql("s3", "hosts", "domain")},
+top AS (
+  SELECT suffix, (good + s1.strength * rate) / (n + s1.strength) AS prior FROM suffixes, overall, s1
+), middle AS (
+  SELECT domain, (good + s2.strength * prior) / (n + s2.strength) AS prior FROM domains JOIN top USING (suffix), s2
+), bottom AS (
+  SELECT host, (good + s3.strength * prior) / (n + s3.strength) AS mean, n + s3.strength AS weight
+  FROM hosts JOIN middle USING (domain), s3
+), bounds AS (
+  SELECT host, least(mean + {url_reputation.BOUND_SD} * sqrt(mean * (1 - mean) / (weight + 1)), 1.0) AS bound FROM bottom
+)
+SELECT page_id, host, path, CASE {_RULES_SQL.format(*(rule for _, rule in _SORTED_RULES))} END AS rule,
+  CASE {_RULES_SQL.format(*(verdict for verdict, _ in _SORTED_RULES))}
+       WHEN bound < greatest({url_reputation.LEAST_GOOD}, {url_reputation.LEAST_SHARE} * (SELECT rate FROM overall)) THEN 'block'
+       ELSE 'allow' END AS verdict
+FROM parsed JOIN bounds USING (host)
+"""
+
 OP11_SQL = rf"""
 WITH runs AS (
   SELECT doc_id, lower_run, count(*) AS times FROM (
@@ -318,6 +386,7 @@ QUERIES: dict[str, Query] = {
 
 SQL: dict[str, str] = {
     "op1_line_dedup": OP1_SQL,
+    "op5_url_filters": OP5_SQL,
     "op6_topk": OP6_SQL,
     "op7_ngram_join": OP7_SQL,
     "op9_substring_dedup": OP9_SQL,

@@ -4,7 +4,12 @@ Labelled page outcomes (1 good, 0 bad) are counted per host, registered domain a
 level is a beta-binomial whose prior is its parent: a suffix is shrunk towards the overall rate,
 a domain towards its suffix, a host towards its domain. How strongly is estimated from the data
 (empirical Bayes, by moments): the less the children of a parent differ, the more they borrow.
-A host is blocked when even the upper bound of its posterior good rate is below `least_good`.
+A host is blocked when even the upper bound of its posterior good rate is below what is asked for: a
+share of the rate of all labelled pages, so that hosts far below the rest go also where nearly all
+is good, and never less than `least_good`.
+
+A suffix may have two labels (`co.uk`), by a list that is a parameter. Ports are left out of domains,
+and an address of numbers is a domain of its own.
 
 All of it is aggregation, combined in the map tasks, over narrow rows; a host that holds a third of
 all pages is one row of the reputation table. Pages find their host's row by a join that
@@ -32,11 +37,24 @@ RULES = (
     ("allow", "org/fr/"),
 )
 
-# A host is blocked if its good rate is below this, so far as its posterior can tell.
+# A host is blocked if its good rate is below this, so far as its posterior can tell,
 LEAST_GOOD = 0.5
+# or below this share of the rate of all labelled pages.
+LEAST_SHARE = 0.8
 # The bound lies this many posterior standard deviations above the mean.
 BOUND_SD = 1.645
 
+# Common suffixes of two labels under which names are registered.
+SUFFIXES = (
+    "ac.jp", "ac.uk", "ac.za", "co.id", "co.il", "co.in", "co.jp", "co.ke", "co.kr", "co.nz", "co.th",
+    "co.uk", "co.za", "com.ar", "com.au", "com.bd", "com.br", "com.cn", "com.co", "com.eg", "com.hk",
+    "com.mx", "com.my", "com.ng", "com.pe", "com.ph", "com.pk", "com.pl", "com.sa", "com.sg", "com.tr",
+    "com.tw", "com.ua", "com.ve", "com.vn", "edu.au", "edu.cn", "gob.mx", "gov.au", "gov.br", "gov.cn",
+    "gov.in", "gov.uk", "ltd.uk", "me.uk", "ne.jp", "net.au", "net.br", "net.cn", "net.nz", "net.uk",
+    "or.jp", "or.kr", "org.ar", "org.au", "org.br", "org.cn", "org.in", "org.mx", "org.nz", "org.tr",
+    "org.tw", "org.uk", "org.za", "plc.uk", "sch.uk",
+)
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -59,12 +77,23 @@ def longest_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]], v
     return F.lit(None).cast("string") if found is None else found
 
 
-def registered_domain(host: Column) -> Column:
-    return F.substring_index(host, ".", -2)
+def _last(name: Column, labels: int) -> Column:
+    return F.substring_index(name, ".", -labels)
+
+
+def registered_domain(host: Column, suffixes: Sequence[str] = SUFFIXES) -> Column:
+    """The suffix of a host and the label before it."""
+    name = F.regexp_replace(host, ":[0-9]*$", "")
+    number = name.rlike(r"^[0-9]+(\.[0-9]+){3}$")
+    two = _last(name, 2).isin(list(suffixes))
+    return F.when(number, name).when(two, _last(name, 3)).otherwise(_last(name, 2))
 
 
-def suffix(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+def suffix(domain: Column, suffixes: Sequence[str] = SUFFIXES) -> Column:
+    """The suffix of a registered domain; that of an address of numbers is empty."""
+    number = domain.rlike(r"^[0-9]+(\.[0-9]+){3}$")
+    two = _last(domain, 2).isin(list(suffixes))
+    return F.when(number, F.lit("")).when(two, _last(domain, 2)).otherwise(_last(domain, 1))
 
 
 def _strength(children: DataFrame, parent: str) -> DataFrame:
@@ -90,7 +119,7 @@ def _strength(children: DataFrame, parent: str) -> DataFrame:
 
 
 def reputation(hosts: DataFrame) -> DataFrame:
-    """host, mean and bound of its posterior good rate, from hosts (host, n, good).
+    """host, mean and bound of its posterior good rate, and the rate of all, from hosts (host, n, good).
 
     `hosts` has a row for every host, with n = 0 where no page of it is labelled.
     """
@@ -111,9 +140,10 @@ def reputation(hosts: DataFrame) -> DataFrame:
     bottom = hosts.join(middle, "domain").join(F.broadcast(_strength(hosts, "domain")))
     weight = n + F.col("strength")
     sd = F.sqrt(mean * (1 - mean) / (weight + 1))
-    return bottom.select(
+    found = bottom.select(
         "host", mean.alias("mean"), F.least(mean + BOUND_SD * sd, F.lit(1.0)).alias("bound")
     )
+    return found.join(F.broadcast(overall.select(rate.alias("overall"))))  # one row
 
 
 def judge_pages(
@@ -121,6 +151,7 @@ def judge_pages(
     labels: DataFrame,
     rules: Sequence[tuple[str, str]] = RULES,
     least_good: float = LEAST_GOOD,
+    least_share: float = LEAST_SHARE,
 ) -> DataFrame:
     """page_id, host, path, rule, verdict, and mean and bound of the host's reputation.
 
@@ -143,7 +174,8 @@ def judge_pages(
     known = small_enough(checkpointed(reputation(hosts)))
     joined = parsed.join(known, "host", "left")
     rule = [longest_rule(F.col("host"), F.col("path"), rules, i) for i in (0, 1)]
-    learned = F.when(F.col("bound") < least_good, "block").otherwise("allow")
+    asked = F.greatest(F.lit(least_good), F.lit(least_share) * F.col("overall"))
+    learned = F.when(F.col("bound") < asked, "block").otherwise("allow")
     return joined.select(
         "page_id", "host", "path", rule[1].alias("rule"),
         F.coalesce(rule[0], learned).alias("verdict"), "mean", "bound",

@@ -1,8 +1,14 @@
 from __future__ import annotations
 
+import random
+
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
 from blotter.llm import url_reputation
+from checks import compare
 
 URLS = [
     ("http://A.Example.NET/en/x?y#z", "a.example.net", "/en/x", "example.net/en/", "allow"),
@@ -52,6 +58,56 @@ def test_reputation_shrinks_to_the_parents(spark):
     assert all(0 <= r.mean <= r.bound <= 1 for r in rows.values())
 
 
+def test_hosts_far_below_the_rest_are_blocked(spark):
+    """Where nearly all is good, a host with two good pages of three is not."""
+    hosts = {f"h{h}.site{h}.org": 0.97 for h in range(40)} | {f"m{h}.mixed{h}.org": 0.6 for h in range(4)}
+    urls, outcomes = [], []
+    for host, rate in hosts.items():
+        for n in range(200):
+            outcomes.append((len(urls), int(n < 200 * rate)))
+            urls.append(f"http://{host}/{n}")
+    judged = url_reputation.judge_pages(pages(spark, urls), labels(spark, outcomes), rules=())
+    verdicts = {(r.host, r.verdict) for r in judged.collect()}
+    assert verdicts == {(h, "block" if h.startswith("m") else "allow") for h in hosts}
+
+
+@pytest.mark.parametrize(
+    ("host", "domain", "suffix"),
+    [
+        ("a.b.co.uk", "b.co.uk", "co.uk"), ("b.co.uk:8080", "b.co.uk", "co.uk"), ("co.uk", "co.uk", "co.uk"),
+        ("x.y.com", "y.com", "com"), ("localhost", "localhost", "localhost"), ("", "", ""),
+        ("10.0.0.1:80", "10.0.0.1", ""), ("1.2.3.4.5", "4.5", "5"),
+    ],
+)
+def test_domains_and_suffixes(spark, host, domain, suffix):
+    row = spark.createDataFrame([(host,)], "h string").select(
+        url_reputation.registered_domain(F.col("h")).alias("d")
+    ).select("d", url_reputation.suffix(F.col("d")).alias("s")).first()
+    assert (row.d, row.s) == (domain, suffix)
+
+
+def test_query_equals_sql_where_hosts_differ(spark, tmp_path):
+    """The registered query and its SQL on a table in which reputation decides."""
+    rng = random.Random(8)
+    rows, outcomes = [], []
+    for n in range(3000):
+        h = rng.randrange(30)
+        host = f"h{h}.{'bad' if h % 5 == 0 else f'd{h % 7}'}.{rng.choice(['com', 'co.uk', 'net', 'org'])}"
+        rows.append((n, rng.choice([f"https://{host}/{'fr' if n % 3 else 'de'}/{n}", None]) if n % 50 == 0 else f"https://{host}/x{n}"))
+        if n % 2:
+            outcomes.append((n, int(rng.random() < (0.2 if h % 5 == 0 else 0.9))))
+    spark.createDataFrame(rows, "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame(outcomes, "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    ours = contract.queries()["op5_url_filters"](spark, str(tmp_path)).toPandas()
+    connection = duckdb.connect()
+    for table in ("pages", "labels"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{tmp_path}/{table}.parquet/*.parquet')")
+    theirs = connection.sql(contract.oracle_sql()["op5_url_filters"]).df()
+    assert compare.differences(ours, theirs) == []
+    learned = ours[ours.rule.isna()]
+    assert 100 < (learned.verdict == "block").sum() < len(learned)
+
+
 @pytest.mark.parametrize("hosts", [0, 10**6])
 def test_the_join_gives_the_same_either_way(spark, monkeypatch, hosts):
     small = url_reputation.small_enough
