@@ -78,9 +78,11 @@ def partitions(spark: SparkSession) -> int:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a folder of this process only where none is named."""
+    """The cluster's shared folder; a folder of this process only in a local session that names none."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = os.path.join(tempfile.gettempdir(), f"blotter-{os.getpid()}")
     return folder
 
