@@ -40,6 +40,9 @@ class Config:
     # if there are at least as many buckets as shuffle partitions.
     bronze_table: str | None = None
     bronze_buckets: int = 1024
+    # Bronze as a folder partitioned by so many hex digits of its ids' MD5: 1 gives 16 partitions, 2 give
+    # 256. Inserting then reads the partitions that arriving ids fall in, and no others.
+    bronze_digits: int = 0
     # With a database the marts are catalog tables; without one they live under root.
     gold_database: str | None = None
 
@@ -66,6 +69,10 @@ class Config:
     # Shuffle partitions are sized so that each holds about this many bytes.
     partition_bytes: int = 128 * 1024 * 1024
 
+    def __post_init__(self) -> None:
+        if self.bronze_digits and self.bronze_table is not None:
+            raise ValueError("Bronze is either bucketed (bronze_table) or partitioned (bronze_digits)")
+
     @property
     def bronze_path(self) -> str:
         return f"{self.root}/bronze/raw_trades"

@@ -6,6 +6,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+PREFIX = "_prefix"
+
+
+def prefix(key: Column, digits: int) -> Column:
+    """The partition of a key: the first hex digits of its MD5, which spread any keys evenly."""
+    return F.left(F.md5(key.cast("binary")), F.lit(digits))
+
+
+def prefixes_of(batch: DataFrame, key: str, digits: int) -> list[str]:
+    """The partitions the keys of a batch fall in: at most 16**digits."""
+    found = batch.where(F.col(key).isNotNull()).select(prefix(F.col(key), digits).alias(PREFIX)).distinct()
+    return sorted(row[PREFIX] for row in found.collect())
+
+
+def reachable(target: DataFrame, batch: DataFrame, key: str, digits: int) -> DataFrame:
+    """The part of a target, partitioned by PREFIX, that may have keys of the batch."""
+    return target.where(F.col(PREFIX).isin(prefixes_of(batch, key, digits)))
+
+
 def first_copies(batch: DataFrame, key: str, earliest: Column) -> DataFrame:
     """One row per key: the earliest, then the smallest by its columns, so always the same one.
 

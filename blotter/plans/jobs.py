@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from blotter.config import GOLD_TABLES, Config
 from blotter.operators import cleaning, profile, quality, validate
-from blotter.operators.insert_only import new_rows
+from blotter.operators.insert_only import PREFIX, new_rows, reachable
 from blotter.operators.zorder import quantile_cuts
 from blotter.plans import gold
 from blotter.plans.silver import SILVER_DDL, silver
@@ -58,13 +58,25 @@ def _replace_quarantine(spark: SparkSession, checked: DataFrame, quarantined: in
         sink.write_loads(quarantine_rows(checked, F.current_timestamp()), path, cfg)
 
 
+def _bronze_schema(cfg: Config) -> str:
+    return BRONZE_SCHEMA + (f", {PREFIX} string" if cfg.bronze_digits else "")
+
+
+def bronze_for(spark: SparkSession, cfg: Config, batch: DataFrame) -> DataFrame | None:
+    """As much of Bronze as has to be read to insert the batch."""
+    if not cfg.bronze_digits or not table_exists(spark, cfg.bronze_path, cfg):
+        return bronze(spark, cfg)
+    table = read_table(spark, cfg.bronze_path, cfg, _bronze_schema(cfg))
+    return reachable(table, validate.valid(batch), "trade_id", cfg.bronze_digits).drop(PREFIX)
+
+
 def bronze(spark: SparkSession, cfg: Config) -> DataFrame | None:
     """Bronze as it is, or None before the first load."""
     if cfg.bronze_table is not None:
         return spark.table(cfg.bronze_table) if spark.catalog.tableExists(cfg.bronze_table) else None
     if not table_exists(spark, cfg.bronze_path, cfg):
         return None
-    return read_table(spark, cfg.bronze_path, cfg, BRONZE_SCHEMA)
+    return read_table(spark, cfg.bronze_path, cfg, _bronze_schema(cfg)).drop(PREFIX)
 
 
 def ingest_lines(lines: DataFrame, cfg: Config) -> dict:
@@ -85,7 +97,7 @@ def ingest_lines(lines: DataFrame, cfg: Config) -> dict:
         _replace_quarantine(spark, rows, counts["quarantined"], cfg)
         inserted = 0
         if counts["valid"]:
-            fresh = fresh_rows(rows, bronze(spark, cfg), F.current_timestamp())
+            fresh = fresh_rows(rows, bronze_for(spark, cfg, rows), F.current_timestamp())
             inserted = sink.append_bronze(fresh, cfg)
     return {
         "valid_count": counts["valid"],
@@ -128,7 +140,7 @@ def transform(
     if cfg.bronze_table is not None and bronze_path is None:
         rows = spark.table(cfg.bronze_table)
     else:
-        rows = read_table(spark, source, cfg, BRONZE_SCHEMA)
+        rows = read_table(spark, source, cfg, BRONZE_SCHEMA)  # without the partition, if there is one
     with sized_shuffles(spark, files.stored_bytes(spark, source), cfg.partition_bytes):
         cuts = silver_cuts(rows) if cfg.cluster_silver and cfg.zorder_silver else None
         finished = silver(rows, cfg, rates)

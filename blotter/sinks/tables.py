@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.config import Config
+from blotter.operators.insert_only import PREFIX, prefix
 from blotter.operators.validate import LOAD
 from blotter.operators.zorder import clustered
 from blotter.sources import files
@@ -44,7 +45,14 @@ def append(df: DataFrame, path: str, cfg: Config) -> int:
 
 
 def append_bronze(df: DataFrame, cfg: Config) -> int:
-    """Append to Bronze: its folder, or its catalog table bucketed by trade_id."""
+    """Append to Bronze: its folder, perhaps partitioned by its ids, or its catalog table bucketed by
+    trade_id.
+    """
+    if cfg.bronze_digits:
+        placed = df.withColumn(PREFIX, prefix(F.col("trade_id"), cfg.bronze_digits))
+        with counting(placed.hint("rebalance", PREFIX)) as (counted, counts):
+            counted.write.format(cfg.table_format).mode("append").partitionBy(PREFIX).save(cfg.bronze_path)
+        return counts["rows"]
     if cfg.bronze_table is None:
         return append(df, cfg.bronze_path, cfg)
     with counting(df) as (counted, counts):

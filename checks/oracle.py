@@ -687,6 +687,10 @@ FROM (SELECT field, count(*) AS n_present, string_agg(DISTINCT kind, ',' ORDER B
              count(*) FILTER (field = 'counterparty' AND kind = 'number') AS n_unexpected
       FROM ({cells}) GROUP BY field),
      (SELECT count(*) AS total FROM landing WHERE variant NOT IN (1, 2))
+""")
+    sql["bronze_insert_pruned"] = _query("trades", f"""
+SELECT {_TRADE}, left(md5(trade_id), 1) AS _prefix FROM trades
+WHERE status = 'PENDING' AND left(md5(trade_id), 1) = '7'
 """)
     sql["cents_to_euros_sql"] = sql["cents_to_euros"]
     sql["fx_conversion_sql"] = sql["fx_conversion"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from blotter.operators import (
 )
 from blotter.plans import gold, incremental, jobs
 from blotter.plans.silver import silver
-from blotter.session import checkpointed, prepare
+from blotter.session import checkpoint_folder, checkpointed, prepare
 from blotter.sinks import tables as sink
 from blotter.sources import drift, landing, tables, trades_view
 from blotter.streaming.velocity import velocity_counts
@@ -133,6 +134,16 @@ def bronze_merge_insert(spark, sf_dir):
     return target.unionByName(fresh)
 
 
+def bronze_insert_pruned(spark, sf_dir):
+    """What is inserted where all arriving ids fall in one of Bronze's 16 partitions."""
+    rows = _trades(spark, sf_dir).withColumn(insert_only.PREFIX, insert_only.prefix(F.col("trade_id"), 1))
+    path = f"{checkpoint_folder(spark)}/blotter/{uuid4().hex}"
+    rows.where(F.col("status") != "PENDING").write.partitionBy(insert_only.PREFIX).parquet(path)
+    batch = rows.where(F.col(insert_only.PREFIX) == "7")
+    target = insert_only.reachable(spark.read.parquet(path), batch, "trade_id", 1)
+    return insert_only.new_rows(batch, target, "trade_id", F.col("trade_timestamp"))
+
+
 def silver_clean(spark, sf_dir):
     return cleaning.clean(trades_view.faulty_records(spark, sf_dir))
 
@@ -361,6 +372,7 @@ QUERIES: dict[str, Query] = {
     "sorted_top_instruments": _sorted("mart_top_instruments"),
     "bronze_summary": lambda s, d: validate.summary(_checked(s, d)),
     "bronze_merge_insert": bronze_merge_insert,
+    "bronze_insert_pruned": bronze_insert_pruned,
     "silver_clean": silver_clean,
     "silver_not_cancelled": silver_not_cancelled,
     "fx_conversion": fx_conversion,
