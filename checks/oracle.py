@@ -691,6 +691,12 @@ FROM (SELECT field, count(*) AS n_present, string_agg(DISTINCT kind, ',' ORDER B
     sql["bronze_insert_pruned"] = _query("trades", f"""
 SELECT {_TRADE}, left(md5(trade_id), 1) AS _prefix FROM trades
 WHERE status = 'PENDING' AND left(md5(trade_id), 1) = '7'
+""")
+    sql["velocity_alerts"] = _query("clean_trades", """
+SELECT trader_id, trade_date, trade_hour, trade_id, trade_timestamp, trades_in_hour FROM (
+  SELECT *, row_number() OVER (PARTITION BY trader_id, trade_date, trade_hour ORDER BY trade_timestamp, trade_id)
+    AS trades_in_hour FROM clean_trades)
+WHERE trades_in_hour = 2
 """)
     sql["cents_to_euros_sql"] = sql["cents_to_euros"]
     sql["fx_conversion_sql"] = sql["fx_conversion"]

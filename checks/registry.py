@@ -27,6 +27,7 @@ from blotter.plans.silver import silver
 from blotter.session import checkpoint_folder, checkpointed, prepare
 from blotter.sinks import tables as sink
 from blotter.sources import drift, landing, tables, trades_view
+from blotter.streaming import alerts
 from blotter.streaming.velocity import velocity_counts
 
 # The sparse test data never reach ten trades of a trader in an hour.
@@ -366,6 +367,7 @@ QUERIES: dict[str, Query] = {
     "staged_view": staged_view,
     "sample_size": sample_size,
     "fx_conversion_table": fx_conversion_table,
+    "velocity_alerts": lambda s, d: alerts.passing_trades(_clean(s, d), CFG),
     "velocity_windows": lambda s, d: velocity_counts(_clean(s, d), CFG),
     "sorted_daily_volume": _sorted("mart_daily_volume"),
     "sorted_risk_exposure": _sorted("mart_risk_exposure"),
