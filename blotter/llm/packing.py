@@ -13,13 +13,14 @@
    common, is ranked by one task; a piece then looks its place up by length and rank.
 
 Defined cases: a null or empty text is the end token alone. Repeated rows and rows with equal or
-null ids are packed each for itself. Strings that look like special tokens are ordinary text.
+null ids are packed each for itself. Strings of the special tokens that are given are these tokens.
 """
 
 from __future__ import annotations
 
 import base64
 import functools
+import json
 from collections import defaultdict
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
@@ -40,11 +41,11 @@ _PIECES = "pid long, _id long, piece int, start long, length long, ids binary"
 
 
 @functools.lru_cache(maxsize=4)
-def encoding(ranks_path: str, pattern: str) -> tiktoken.Encoding:
-    """The tokenizer of a rank file, made once per worker."""
+def encoding(ranks_path: str, pattern: str, special: tuple[tuple[str, int], ...] = ()) -> tiktoken.Encoding:
+    """The tokenizer of a rank file and special tokens, made once per worker."""
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=dict(special))
 
 
 def cut_points(n: int, capacity: int) -> list[int]:
@@ -53,19 +54,30 @@ def cut_points(n: int, capacity: int) -> list[int]:
     return [0, *range(short, n + 1, capacity)]
 
 
+def special_tokens(tokenizer_path: str) -> tuple[tuple[str, int], ...]:
+    """The special tokens of a tokenizer file, whose strings it takes for them."""
+    with open(tokenizer_path, encoding="utf-8") as file:
+        return tuple((token["content"], token["id"]) for token in json.load(file)["added_tokens"])
+
+
 def tokenize(
-    docs: DataFrame, ranks_path: str, pattern: str, capacity: int = CAPACITY, end: int = END
+    docs: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    capacity: int = CAPACITY,
+    end: int = END,
+    special: tuple[tuple[str, int], ...] = (),
 ) -> DataFrame:
     """Pieces: pid (unique), _id, piece, start, length and ids (little-endian unsigned 32 bit)."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoding(ranks_path, pattern)
+        encoder = encoding(ranks_path, pattern, special)
         next_pid = TaskContext.get().partitionId() << 40
         for batch in batches:
             owner, piece, start, length, ids = [], [], [], [], []
             for row, text in enumerate(batch.column("_text")):
                 tokens = np.append(
-                    encoder.encode_to_numpy(text.as_py(), disallowed_special=()).astype("<u4"),
+                    encoder.encode_to_numpy(text.as_py(), allowed_special="all").astype("<u4"),
                     np.array([end], dtype="<u4"),
                 )
                 cuts = cut_points(len(tokens), capacity)
@@ -186,9 +198,14 @@ class Packed:
 
 
 def pack(
-    docs: DataFrame, ranks_path: str, pattern: str, capacity: int = CAPACITY, end: int = END
+    docs: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    capacity: int = CAPACITY,
+    end: int = END,
+    special: tuple[tuple[str, int], ...] = (),
 ) -> Packed:
-    pieces = stored(tokenize(docs, ranks_path, pattern, capacity, end))
+    pieces = stored(tokenize(docs, ranks_path, pattern, capacity, end, special))
     return Packed(pieces, places(pieces, capacity))
 
 

@@ -42,6 +42,7 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         _table(spark, sf_dir, "documents"),
         public_tokenizers.path("byte_bpe_50k.tiktoken"),
         public_tokenizers.PATTERN,
+        special=packing.special_tokens(public_tokenizers.path("byte_bpe_50k.json")),
     )
     return packing.packing_report(packed)
 

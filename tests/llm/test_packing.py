@@ -13,13 +13,12 @@ from blotter.llm import packing
 from tests.llm.conftest import ODD_ROWS, prose
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+SPECIAL = packing.special_tokens(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    made = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def check(rows, report, tokenizer, capacity):
@@ -47,8 +46,8 @@ def check(rows, report, tokenizer, capacity):
 
 @pytest.mark.parametrize("capacity", [1024, 32])
 def test_odd_and_long_rows(documents, tokenizer, capacity):
-    rows = [*((r[0], r[1]) for r in ODD_ROWS), (20, prose(5000, 9)), (21, "x" * 4000), (22, "<|endoftext|>")]
-    packed = packing.pack(documents(*rows), RANKS, PATTERN, capacity)
+    rows = [*((r[0], r[1]) for r in ODD_ROWS), (20, prose(5000, 9)), (21, "x" * 4000), (22, "<|endoftext|>"), (23, "a <|endoftext|>b")]
+    packed = packing.pack(documents(*rows), RANKS, PATTERN, capacity, special=SPECIAL)
     report = packing.packing_report(packed).collect()
     check(rows, report, tokenizer, capacity)
     whole = packed.sequences().collect()
