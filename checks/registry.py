@@ -138,7 +138,7 @@ def bronze_merge_insert(spark, sf_dir):
 def bronze_insert_pruned(spark, sf_dir):
     """What is inserted where all arriving ids fall in one of Bronze's 16 partitions."""
     rows = _trades(spark, sf_dir).withColumn(insert_only.PREFIX, insert_only.prefix(F.col("trade_id"), 1))
-    path = f"{checkpoint_folder(spark)}/blotter/{uuid4().hex}"
+    path = f"{checkpoint_folder(spark)}/queries/{uuid4().hex}"
     rows.where(F.col("status") != "PENDING").write.partitionBy(insert_only.PREFIX).parquet(path)
     batch = rows.where(F.col(insert_only.PREFIX) == "7")
     target = insert_only.reachable(spark.read.parquet(path), batch, "trade_id", 1)
