@@ -78,9 +78,11 @@ def interleaved(buckets: Sequence[Column], bits: int) -> Column:
 def z_key(cuts: Mapping[str, Sequence]) -> Column:
     """A row's key from the cuts of its columns, as many bits as the finest column needs."""
     bits = max(max((len(c).bit_length() for c in cuts.values()), default=1), 1)
-    # A coarse column's bits are its highest: spread, they split the key as soon as a fine one's.
+    # Buckets are spread evenly over all the bits, so that every bit of a column halves its rows,
+    # whatever its number of buckets.
     spread = [
-        F.shiftleft(bucket_of(F.col(name), c), bits - len(c).bit_length()) for name, c in cuts.items()
+        F.floor(F.shiftleft(bucket_of(F.col(name), c).cast("bigint"), bits) / (len(c) + 1))
+        for name, c in cuts.items()
     ]
     return interleaved(spread, bits)
 

@@ -471,12 +471,12 @@ for _column in _Z_COLUMNS:
 
 
 def _z_key() -> str:
-    """The bits of the buckets in turn, those of a coarse column moved to the top."""
+    """The bits of the buckets in turn, each column's spread over all the bits."""
     width = lambda c: f"length(ltrim(bin({c}_buckets.cuts), '0'))"
     most = f"greatest({', '.join(width(c) for c in _Z_COLUMNS)})"
     n = len(_Z_COLUMNS)
     bits = [
-        f"(((CAST({c}_buckets.bucket AS BIGINT) << ({most} - {width(c)})) >> {bit}) & 1) * {1 << (bit * n + n - 1 - place)}"
+        f"((((CAST({c}_buckets.bucket AS BIGINT) << {most}) // ({c}_buckets.cuts + 1)) >> {bit}) & 1) * {1 << (bit * n + n - 1 - place)}"
         for bit in range(8)
         for place, c in enumerate(_Z_COLUMNS)
     ]
