@@ -56,24 +56,33 @@ class WaveletMatrix:
 
 
 def suffix_ranks(text: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """The rank of every suffix, and its rank by as many words as a power of two below `window` has."""
+    """The rank of every suffix, and its rank by as many words as a power of two below `window` has.
+
+    A rank is the number of smaller suffixes, so each round sorts only those that still share theirs.
+    """
     n = len(text)
-    rank = text.astype(np.int64)
+    counts = np.bincount(text)
+    rank = (np.cumsum(counts) - counts)[text]
+    shared = np.flatnonzero(counts[text] > 1)
     length, at_window = 1, rank
     while True:
         if length <= window:
-            at_window = rank
-        if int(rank.max()) + 1 == n:
+            at_window = rank.copy()
+        if not len(shared):
             return rank, at_window
-        later = np.zeros(n, dtype=np.int64)
-        if length < n:
-            later[:-length] = rank[length:] + 1
-        pair = rank * (n + 1) + later
-        order = np.argsort(pair, kind="stable")
-        changes = np.zeros(n, dtype=np.int64)
-        changes[1:] = np.cumsum(pair[order][1:] != pair[order][:-1])
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = changes
+        later = np.zeros(len(shared), dtype=np.int64)
+        inside = np.flatnonzero(shared < n - length)
+        later[inside] = rank[shared[inside] + length] + 1
+        pair = rank[shared] * (n + 1) + later
+        order = np.argsort(pair)
+        shared, pair = shared[order], pair[order]
+        head = rank[shared]
+        place = np.arange(len(shared))
+        opens = np.append(True, pair[1:] != pair[:-1])
+        first = np.maximum.accumulate(np.where(opens, place, 0))
+        group = np.maximum.accumulate(np.where(np.append(True, head[1:] != head[:-1]), place, 0))
+        rank[shared] = head + first - group
+        shared = shared[~(opens & np.append(opens[1:], True))]
         length *= 2
 
 
@@ -93,8 +102,7 @@ class FmIndex:
         is_word[self.starts + self.lengths] = False
         self.text[is_word] = words + n_texts
         self.text[~is_word] = np.arange(n_texts)
-        dense = np.unique(self.text, return_inverse=True)[1]
-        rank, by_power = suffix_ranks(dense, window)
+        rank, by_power = suffix_ranks(self.text, window)
         order = np.empty(len(rank), dtype=np.int64)
         order[rank] = np.arange(len(rank))
         symbols = np.where(is_word, self.text - n_texts + 1, 0)

@@ -20,7 +20,9 @@ all their windows repeat. Rows with the same id and other texts are told apart b
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -32,6 +34,7 @@ from pyspark.sql import functions as F
 from blotter.llm.common import checkpointed, given_id, keyed, small_enough, stored, with_key
 from blotter.llm.fm_index import FmIndex
 from blotter.llm.tokens import (
+    PORTION,
     Frequent,
     batched,
     distinct,
@@ -53,6 +56,16 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
             yield distinct(gram_hashes(words, GRAM))
 
 
+def smallest(values: np.ndarray, span: int) -> np.ndarray:
+    """The smallest of every `span` neighbouring values, from windows of twice the width each time."""
+    width = 1
+    while width < span:
+        by = min(width, span - width)
+        values = np.minimum(values[:-by], values[by:])
+        width += by
+    return values
+
+
 def segments(
     grams: np.ndarray, frequent: Frequent, doc: int = 0, window: int = WINDOW, gram: int = GRAM
 ) -> dict[str, np.ndarray]:
@@ -62,24 +75,27 @@ def segments(
     dealt out in parts, and runs in which the owner stands more than once.
     """
     seen = frequent.seen(grams)
-    level = np.minimum(np.ceil(np.log2(seen + 1)), 63).astype(np.uint64)
-    order = (level << np.uint64(58)) | (grams >> np.uint64(6))
+    order = grams >> np.uint64(6)
+    common = np.flatnonzero(seen)
+    level = np.minimum(np.ceil(np.log2(seen[common] + 1)), 63).astype(np.uint64)
+    order[common] |= level << np.uint64(58)
     span = window - gram + 1
-    views = np.lib.stride_tricks.sliding_window_view(order, span)
-    place = views.argmin(axis=1) + np.arange(len(views))
-    owner = order[place]
+    owner = smallest(order, span)
     first = np.concatenate([[0], np.flatnonzero(owner[1:] != owner[:-1]) + 1])
     # Runs longer than a span are cut, so that a segment has a bounded length.
     inside = np.arange(len(owner)) - np.repeat(first, np.diff(np.append(first, len(owner))))
     first = np.flatnonzero(inside % span == 0)
     last = np.append(first[1:], len(owner)) - 1
-    parts = frequent.parts(seen[place[first]])
+    inner = np.arange(span)
+    place_first = order[first[:, None] + inner].argmin(axis=1) + first
+    place_last = order[last[:, None] + inner].argmin(axis=1) + last
+    parts = frequent.parts(seen[place_first])
     return {
         "t": owner[first].view(np.int64),
         "first": first.astype(np.int32),
         "last": last.astype(np.int32),
         "part": ((first + doc * 2654435761) % parts).astype(np.int32),
-        "keep": (parts > 1) | (place[first] != place[last]),
+        "keep": (parts > 1) | (place_first != place_last),
     }
 
 
@@ -101,11 +117,6 @@ def owned_runs(docs: DataFrame) -> DataFrame:
     return shared_only(keyed(docs).mapInArrow(emit, columns)).drop("part", "keep")
 
 
-def _key(words: bytes) -> tuple[int, int]:
-    digest = np.frombuffer(xxhash.xxh3_128_digest(words), dtype="<i8")
-    return int(digest[0]), int(digest[1])
-
-
 def cut_segments(docs: DataFrame) -> DataFrame:
     """Every owned run as words: _id, _th, first, its owner t, its 128-bit key and `words`."""
     lists = (
@@ -116,23 +127,43 @@ def cut_segments(docs: DataFrame) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(batch.num_rows):
-                words = batch.column("_text")[row].as_py().encode().split()
-                runs = batch.column("runs")[row].as_py()
-                parts = [b" ".join(words[r["first"] : r["last"] + WINDOW]) for r in runs]
-                keys = [_key(part) for part in parts]
-                yield pa.record_batch(
+            lists = batch.column("runs")
+            runs, ends = lists.flatten(), np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
+            firsts, lasts = runs.field("first").to_numpy(), runs.field("last").to_numpy()
+            texts = batch.column("_text").cast(pa.binary())
+            parts: list[bytes] = []
+            size = begun = 0  # the first document of the batch to come
+
+            def some(end: int) -> pa.RecordBatch:
+                """The segments of the documents from `begun` to before `end`."""
+                given = batch.slice(begun, end - begun)
+                each = given.column("runs").value_lengths()
+                own = np.repeat(np.arange(end - begun), each.to_numpy(zero_copy_only=False))
+                chosen = runs.slice(ends[end - 1] - len(own), len(own))
+                keys = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, parts)), dtype="<i8")
+                return pa.record_batch(
                     {
-                        "_id": pa.array([batch.column("_id")[row].as_py()] * len(runs), pa.int64()),
-                        "_th": pa.array([batch.column("_th")[row].as_py()] * len(runs), pa.int64()),
-                        "first": pa.array([r["first"] for r in runs], pa.int32()),
-                        "t": pa.array([r["t"] for r in runs], pa.int64()),
-                        "k1": pa.array([k[0] for k in keys], pa.int64()),
-                        "k2": pa.array([k[1] for k in keys], pa.int64()),
+                        "_id": given.column("_id").take(pa.array(own)),
+                        "_th": given.column("_th").take(pa.array(own)),
+                        "first": chosen.field("first"),
+                        "t": chosen.field("t"),
+                        "k1": pa.array(keys[::2]),
+                        "k2": pa.array(keys[1::2]),
                         "words": pa.array(parts, pa.binary()),
                     }
                 )
 
+            start = 0
+            for row, end in enumerate(ends.tolist()):
+                words = texts[row].as_py().split()
+                for first, last in zip(firsts[start:end].tolist(), lasts[start:end].tolist()):
+                    parts.append(b" ".join(words[first : last + WINDOW]))
+                    size += len(parts[-1])
+                start = end
+                if size >= PORTION or row == len(ends) - 1:
+                    yield some(row + 1)
+                    parts, size, begun = [], 0, row + 1
+
     columns = "_id long, _th long, first int, t long, k1 long, k2 long, words binary"
     texts = keyed(docs).join(lists, ["_id", "_th"]).select("_id", "_th", "_text", "runs")
     return stored(texts.mapInArrow(cut, columns))
@@ -159,10 +190,11 @@ def _single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def _search(rows: list[tuple[int, int, int, bytes, int]]) -> pa.RecordBatch:
     """Index the segments of a shard and report the intervals that repeat."""
-    numbers: dict[bytes, int] = {}
-    texts = []
-    for _, _, _, words, _ in rows:
-        texts.append(np.array([numbers.setdefault(w, len(numbers)) for w in words.split()], dtype=np.int64))
+    numbers: defaultdict[bytes, int] = defaultdict(count().__next__)
+    words = b" ".join([row[3] for row in rows]).split()
+    every = np.fromiter(map(numbers.__getitem__, words), dtype=np.int64, count=len(words))
+    ends = np.cumsum([row[3].count(b" ") + 1 for row in rows])
+    texts = np.split(every, ends[:-1])
     index = FmIndex(texts, np.array([row[4] for row in rows], dtype=np.int64), WINDOW)
     k1, k2, begin, end = [], [], [], []
     for (a, b, at, _, _), starts in zip(rows, index.repeated()):

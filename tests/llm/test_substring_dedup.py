@@ -96,3 +96,33 @@ def test_wavelet_ranks():
     places, asked = rng.integers(0, 1001, 300), rng.integers(0, 37, 300)
     wanted = [(symbols[:p] == c).sum() for p, c in zip(places, asked)]
     assert matrix.rank(asked, places).tolist() == wanted
+
+
+@pytest.mark.parametrize("span", [1, 2, 3, 31, 32])
+def test_smallest_of_neighbours(span):
+    values = np.random.default_rng(span).integers(0, 50, 200).astype(np.uint64)
+    wanted = [values[at : at + span].min() for at in range(len(values) - span + 1)]
+    assert substring_dedup.smallest(values, span).tolist() == wanted
+
+
+def test_frequent_tokens_are_told_by_their_first_bits():
+    """Tokens that share their first bits with a frequent one, and such that don't."""
+    known = np.sort(np.random.default_rng(4).integers(0, 2**63, 300).astype(np.uint64) * np.uint64(2))
+    frequent = tokens.Frequent(known, np.arange(1, 301))
+    asked = np.concatenate([known[::3], known[::3] + np.uint64(1), np.array([0, 2**64 - 1], np.uint64)])
+    times = dict(zip(known.tolist(), range(1, 301)))
+    assert frequent.seen(asked).tolist() == [times.get(t, 0) for t in asked.tolist()]
+    assert int(frequent.begins.sum()) <= 300
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_suffix_ranks_with_numbers_left_out(seed):
+    """Word numbers need not be dense; ranks are those of the sorted suffixes."""
+    rng = np.random.default_rng(seed)
+    text = rng.choice([0, 3, 50], 80)
+    rank, by_power = fm_index.suffix_ranks(text, 5)
+    suffixes = [tuple(text[at:].tolist()) for at in range(len(text))]
+    order = sorted(suffixes)
+    assert rank.tolist() == [order.index(s) for s in suffixes]
+    heads = sorted(s[:4] for s in suffixes)
+    assert by_power.tolist() == [heads.index(s[:4]) for s in suffixes]
