@@ -4,8 +4,9 @@
 2. Spark's higher-order functions encode those words: a fold over a word's pieces, at first its
    single bytes, merges the adjacent pair of the lowest rank until no pair is in the vocabulary. The
    ranks are a literal of the plan: an array of buckets, found by the pair's CRC, of pairs and ranks.
-   Each step looks up only the two pairs that a merge creates. A word of more than LONG_WORD bytes, for
-   which that would take quadratic time, has been merged with a heap in step 1, by the same order.
+   The fold's state are the cuts between the pieces; a merge removes one. Each step looks up all pairs
+   there are, which for short words costs less than to keep their ranks. A word of more than LONG_WORD
+   bytes, for which that would take quadratic time, has been merged with a heap in step 1, by the same order.
 3. Decoding maps ids to their binary pieces, a literal array, and concatenates them.
 4. The same task puts the documents together from the ids and decoded bytes of its words.
 
@@ -35,7 +36,8 @@ from blotter.llm.common import NULL_ID, given_id
 
 # The literal's buckets: about as many as there are tokens.
 BUCKETS = 1 << 16
-NO_RANK = (1 << 31) - 1
+# Ranks are held beside a place in a word, so that the smallest is the leftmost of the lowest rank.
+PLACE_BITS = 9
 # A task forgets the words it has met when they are this many.
 MOST_WORDS = 1_000_000
 # Documents that travel together.
@@ -44,7 +46,7 @@ BLOCK_BYTES = 4 << 20
 # A fold takes time with the square of a word's length; longer words than this are merged with a heap.
 LONG_WORD = 256
 
-_RANKS = "array<array<struct<k: binary, v: int>>>"
+_RANKS = "array<array<struct<k: binary, v: bigint>>>"
 _WORDS = (
     "words array<binary>, ready array<array<int>>, forget boolean, docs array<struct<_id: bigint, idx: binary>>"
 )
@@ -58,13 +60,14 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     """use(value), with the value computed once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+    # get() would derive the type of the whole expression again for every value.
+    return F.element_at(F.transform(F.array(value), use), F.lit(1))
 
 
 def rank_literal(ranks: dict[bytes, int]) -> Column:
     buckets: list[list[dict]] = [[] for _ in range(BUCKETS)]
     for token, rank in ranks.items():
-        entry = {"k": base64.b64encode(token).decode(), "v": rank}
+        entry = {"k": base64.b64encode(token).decode(), "v": rank << PLACE_BITS}
         buckets[zlib.crc32(token) % BUCKETS].append(entry)
     return F.from_json(F.lit(json.dumps(buckets, separators=(",", ":"))), _RANKS)
 
@@ -78,70 +81,46 @@ def piece_literal(ranks: dict[bytes, int]) -> Column:
 
 
 def _rank(table: Column, piece: Column) -> Column:
+    """The piece's rank, shifted by PLACE_BITS; null if it is no token."""
     bucket = F.get(table, F.pmod(F.crc32(piece), F.lit(BUCKETS)).cast("int"))
-    return F.aggregate(
-        bucket, F.lit(NO_RANK), lambda found, e: F.when(e["k"] == piece, e["v"]).otherwise(found)
-    )
-
+    none = F.lit(None).cast("bigint")
+    return F.aggregate(bucket, none, lambda found, e: F.when(e["k"] == piece, e["v"]).otherwise(found))
 
-def _pair_ranks(table: Column, pieces: Column) -> Column:
-    n = F.size(pieces)
-    return F.zip_with(
-        F.slice(pieces, F.lit(1), n - 1),
-        F.slice(pieces, F.lit(2), n - 1),
-        lambda a, b: _rank(table, F.concat(a, b)),
-    )
 
+def encode_word(table: Column, word: Column) -> Column:
+    """The ids of a word (binary, not empty, of fewer than 1 << PLACE_BITS bytes)."""
+    size = F.octet_length(word)
 
-def _merge(table: Column, state: Column) -> Column:
-    """Merge the leftmost pair of the lowest rank, and rank the pairs beside it anew."""
-    p, r = state["p"], state["r"]
-    whole = F.size(p)
+    def piece(begin: Column, end: Column) -> Column:
+        return _rank(table, F.substring(word, begin + 1, end - begin))
 
-    def at(j: Column) -> Column:
-        merged = F.concat(
-            F.slice(p, F.lit(1), j - 1),
-            F.array(F.concat(F.get(p, j - 1), F.get(p, j))),
-            F.slice(p, j + 2, whole),
+    def merge(cuts: Column) -> Column:
+        """Without the cut between the leftmost pair of the lowest rank, if any pair has one."""
+        pairs = F.transform(
+            cuts, lambda at, k: piece(at, F.get(cuts, k + 2)) + F.get(cuts, k + 1).cast("bigint")
         )
+        place = F.pmod(F.array_min(pairs), F.lit(1 << PLACE_BITS)).cast("int")
+        return F.coalesce(F.array_remove(cuts, place), cuts)
 
-        def ranks(q: Column) -> Column:
-            # The merged piece with its neighbours, of which either may be missing.
-            near = F.slice(q, F.greatest(j - 1, F.lit(1)), F.when(j > 1, 3).otherwise(2))
-            return F.struct(
-                q.alias("p"),
-                F.concat(
-                    F.slice(r, F.lit(1), F.greatest(j - 2, F.lit(0))),
-                    _let(near, lambda x: _pair_ranks(table, x)),
-                    F.slice(r, j + 2, whole),
-                ).alias("r"),
-            )
-
-        return _let(merged, ranks)
+    def ids(cuts: Column) -> Column:
+        ranks = F.transform(cuts, lambda at, k: piece(at, F.get(cuts, k + 1)))
+        return F.transform(F.filter(ranks, lambda r: r.isNotNull()), _id)
 
-    return _let(F.array_position(r, F.array_min(r)).cast("int"), at)
-
-
-def encode_word(table: Column, word: Column) -> Column:
-    """The ids of a word (binary, not empty)."""
-    size = F.octet_length(word)
-    single = F.transform(F.sequence(F.lit(1), size), lambda i: F.substring(word, i, F.lit(1)))
-    start = _let(single, lambda p: F.struct(p.alias("p"), _pair_ranks(table, p).alias("r")))
+    # A word that is a token as a whole needs no merging; others end as two pieces or more.
     merged = F.aggregate(
-        F.sequence(F.lit(1), size),
-        start,
-        lambda s, _: F.when(
-            F.coalesce(F.array_min(s["r"]), F.lit(NO_RANK)) == NO_RANK, s
-        ).otherwise(_merge(table, s)),
+        F.sequence(F.lit(3), size), F.sequence(F.lit(0), size), lambda cuts, _: merge(cuts)
     )
-    folded = F.transform(merged["p"], lambda piece: _rank(table, piece))
-    # A word that is a token as a whole needs no merging.
-    return _let(_rank(table, word), lambda r: F.when(r != NO_RANK, F.array(r)).otherwise(folded))
+    whole = lambda r: F.when(r.isNotNull(), F.array(_id(r))).otherwise(_let(merged, ids))
+    return _let(_rank(table, word), whole)
+
+
+def _id(rank: Column) -> Column:
+    return F.shiftright(rank, PLACE_BITS).cast("int")
 
 
 def decode(ids: Column, pieces: Column) -> Column:
     """The bytes of an array of ids: their binary pieces, one after the other."""
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.hex(F.get(pieces, i))), ""))
+    return F.aggregate(ids, F.lit(b""), lambda before, i: F.concat(before, F.get(pieces, i)))
 
 
 def encode_long(ranks: dict[bytes, int], word: bytes) -> list[int]:

@@ -64,6 +64,27 @@ def test_ties_go_to_the_left(spark):
         assert row.ids == library.encode_ordinary(bytes(row.w).decode())
 
 
+def test_the_fold_equals_the_library_on_any_bytes(spark, library):
+    """Also for words of one byte and two, of up to LONG_WORD, and in which nothing merges."""
+    rng = random.Random(12)
+    words = [bytes([b]) for b in range(256)] + [b"ab", b"\xff\xfe\x00", b"a" * byte_bpe.LONG_WORD]
+    words += [rng.randbytes(n) for n in range(2, 40)]
+    words += ["".join(rng.choice("etaoinshrdluéü") for _ in range(n)).encode() for n in range(2, 130)]
+    table = spark.createDataFrame([(w,) for w in words], "w binary")
+    coded = byte_bpe._let(byte_bpe.rank_literal(RANKS), lambda t: byte_bpe.encode_word(t, F.col("w")))
+    for row in table.select("w", coded.alias("ids")).collect():
+        assert row.ids == library._encode_single_piece(bytes(row.w))
+
+
+def test_a_merge_only_drops_a_cut(spark):
+    """The fold holds the cuts of a word, not its pieces and their ranks, whose slices took most of the time."""
+    ranks = {bytes([b]): b for b in range(256)}
+    word = spark.createDataFrame([(bytearray(b"abc"),)], "w binary")
+    coded = byte_bpe._let(byte_bpe.rank_literal(ranks), lambda t: byte_bpe.encode_word(t, F.col("w")))
+    plan = word.select(coded.alias("ids"))._jdf.queryExecution().analyzed().toString()
+    assert "array_remove" in plan and "slice(" not in plan and "array_position" not in plan
+
+
 def test_decoding_is_native(spark):
     ids = spark.createDataFrame([([72, 101, 108],), ([],)], "ids array<int>")
     ranks = {bytes([b]): b for b in range(256)}
