@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 
 from blotter.llm.common import NULL_ID, given_id
 
-# The literal's buckets: about as many as there are tokens.
-BUCKETS = 1 << 16
+# The literal's buckets: some times as many as there are tokens. Most are empty and null, which ends a search.
+BUCKETS = 1 << 17
 # Ranks are held beside a place in a word, so that the smallest is the leftmost of the lowest rank.
 PLACE_BITS = 9
 # A task forgets the words it has met when they are this many.
@@ -65,10 +65,11 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def rank_literal(ranks: dict[bytes, int]) -> Column:
-    buckets: list[list[dict]] = [[] for _ in range(BUCKETS)]
+    buckets: list[list[dict] | None] = [None] * BUCKETS
     for token, rank in ranks.items():
         entry = {"k": base64.b64encode(token).decode(), "v": rank << PLACE_BITS}
-        buckets[zlib.crc32(token) % BUCKETS].append(entry)
+        place = zlib.crc32(token) % BUCKETS
+        buckets[place] = [*(buckets[place] or []), entry]
     return F.from_json(F.lit(json.dumps(buckets, separators=(",", ":"))), _RANKS)
 
 
@@ -82,7 +83,7 @@ def piece_literal(ranks: dict[bytes, int]) -> Column:
 
 def _rank(table: Column, piece: Column) -> Column:
     """The piece's rank, shifted by PLACE_BITS; null if it is no token."""
-    bucket = F.get(table, F.pmod(F.crc32(piece), F.lit(BUCKETS)).cast("int"))
+    bucket = F.get(table, F.pmod(F.crc32(piece), F.lit(BUCKETS)))
     none = F.lit(None).cast("bigint")
     return F.aggregate(bucket, none, lambda found, e: F.when(e["k"] == piece, e["v"]).otherwise(found))
 
@@ -92,7 +93,7 @@ def encode_word(table: Column, word: Column) -> Column:
     size = F.octet_length(word)
 
     def piece(begin: Column, end: Column) -> Column:
-        return _rank(table, F.substring(word, begin + 1, end - begin))
+        return _rank(table, F.substring(word, begin, end - begin))
 
     def merge(cuts: Column) -> Column:
         """Without the cut between the leftmost pair of the lowest rank, if any pair has one."""
@@ -108,7 +109,7 @@ def encode_word(table: Column, word: Column) -> Column:
 
     # A word that is a token as a whole needs no merging; others end as two pieces or more.
     merged = F.aggregate(
-        F.sequence(F.lit(3), size), F.sequence(F.lit(0), size), lambda cuts, _: merge(cuts)
+        F.sequence(F.lit(3), size), F.sequence(F.lit(1), size + 1), lambda cuts, _: merge(cuts)
     )
     whole = lambda r: F.when(r.isNotNull(), F.array(_id(r))).otherwise(_let(merged, ids))
     return _let(_rank(table, word), whole)
