@@ -5,11 +5,15 @@ cut into blocks of `BLOCK`; a block keeps its forward index (its vectors) and th
 smallest weight of every term. For a query these give a bound no score in the block can exceed:
 the sum over terms of the best the block has. A query takes the blocks in order of their bounds,
 scores whole blocks through the forward index, and stops when the next bound is below its k-th
-score. What is skipped can't matter, so the result is exact.
+score. What is skipped can't matter, so the result is exact. Queries that come to the same block in
+the same step (of 1, 1, 2, 4, 8 ... blocks) are scored by one matrix product.
 
-Blocks travel in superblocks of `SUPER` vectors and queries in chunks of `CHUNK`; a chunk meets each
-superblock once, in rows of bounded size spread over all tasks. The best k of every meeting are
-merged per query.
+Blocks travel in superblocks of up to `SUPER` vectors and queries in chunks of up to `CHUNK`, of at most
+`COMPONENTS` numbers each. Every chunk meets every superblock in a Cartesian product of the two stored tables,
+partition by partition: nothing is broadcast, copied per partition or collected, and a task holds a
+partition's superblocks. Both tables are stored as large as they are in memory, so that the size of a
+partition of files bounds what a task holds, also where vectors repeat. In a task a chunk meets
+one superblock after the other and keeps its k-th scores; the best k of every task are merged per query.
 
 Defined cases: vectors that are null or hold null, NaN or infinite components take no part, nor do rows
 without an id. A missing component of a shorter vector counts as 0. A row is no candidate for
@@ -30,8 +34,18 @@ from blotter.llm.common import partitions, stored
 
 BLOCK = 128
 SUPER = 2048
-CHUNK = 256
-EXACT = float(1 << 53)  # integers below it are exact as doubles
+CHUNK = 4096
+COMPONENTS = 1 << 18
+# Integers below the limit are exact in the type; the first that holds all sums is taken.
+EXACT = ((np.float32, float(1 << 24)), (np.float64, float(1 << 52)))
+LEAST = np.iinfo(np.int64).min
+# Plain pages and small row groups, also of rows of half a megabyte.
+PLAIN = {
+    "compression": "uncompressed",
+    "parquet.enable.dictionary": "false",
+    "parquet.block.size": str(8 << 20),
+    "parquet.page.size.row.check.min": "1",
+}
 
 
 def integer_vector(vector: Column, scale: int = 256) -> Column:
@@ -54,11 +68,12 @@ def _matrix(rows: list[np.ndarray]) -> np.ndarray:
 
 
 def _packed(size: int):
-    """Rows (vec_id, v) to rows of up to `size` vectors: ids and components as binary."""
+    """Rows (vec_id, v) to rows of up to `size` vectors and `COMPONENTS` numbers: ids and components as binary."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[int] = []
         rows: list[np.ndarray] = []
+        width = 0
 
         def flush() -> pa.RecordBatch:
             matrix = _matrix(rows)
@@ -78,11 +93,12 @@ def _packed(size: int):
             values = vectors.flatten().to_numpy(zero_copy_only=False)
             ends = np.cumsum(vectors.value_lengths().to_numpy(zero_copy_only=False))
             for vec_id, end, start in zip(batch.column("vec_id").to_pylist(), ends, [0, *ends]):
+                width = max(width, end - start)
+                if ids and (len(ids) == size or (len(ids) + 1) * width > COMPONENTS):
+                    yield flush()
+                    ids, rows, width = [], [], end - start
                 ids.append(vec_id)
                 rows.append(values[start:end])
-                if len(ids) == size:
-                    yield flush()
-                    ids, rows = [], []
         if ids:
             yield flush()
 
@@ -95,42 +111,91 @@ def _unpack(ids: bytes, data: bytes, wide: bool) -> tuple[np.ndarray, np.ndarray
     return names, values.reshape(len(names), -1)
 
 
-def _same_width(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    width = max(a.shape[1], b.shape[1])
-    return tuple(np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (a, b))
+def _of_width(matrix: np.ndarray, width: int) -> np.ndarray:
+    return matrix if matrix.shape[1] == width else np.pad(matrix, ((0, 0), (0, width - matrix.shape[1])))
+
+
+class Asked:
+    """Queries and the k best of each among the vectors met so far, as flat arrays."""
+
+    def __init__(self, ids: np.ndarray, queries: np.ndarray, k: int):
+        self.ids, self.queries, self.k = ids, queries, k
+        self.reach = np.abs(queries.astype(float)).sum(axis=1).max(initial=0)
+        self.forms: dict[tuple[type, int], np.ndarray] = {}
+        self.rows, self.best, self.scores = (np.empty(0, np.int64) for _ in range(3))
+        self.kth = np.full(len(ids), LEAST)  # no score is below it while a query has fewer than k
+
+    def form(self, kind: type, width: int) -> np.ndarray:
+        if (kind, width) not in self.forms:
+            self.forms = {(kind, width): _of_width(self.queries, width).astype(kind)}
+        return self.forms[kind, width]
+
+    def add(self, rows: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        changed = np.zeros(len(self.ids), bool)
+        changed[rows] = True
+        again = changed[self.rows]
+        same = ~again
+        rows = np.concatenate([self.rows[again], rows])
+        ids = np.concatenate([self.best[again], ids])
+        scores = np.concatenate([self.scores[again], scores])
+        order = np.lexsort((ids, ~scores, rows))  # ~ turns the order of all integers around
+        rows = rows[order]
+        place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        order, rows, place = (x[place < self.k] for x in (order, rows, place))
+        last = place == self.k - 1
+        self.kth[rows[last]] = scores[order][last]
+        self.rows = np.concatenate([self.rows[same], rows])
+        self.best = np.concatenate([self.best[same], ids[order]])
+        self.scores = np.concatenate([self.scores[same], scores[order]])
+
+    def meet(self, ids: np.ndarray, vectors: np.ndarray, block: int = BLOCK) -> None:
+        """Improve the best by these vectors."""
+        width = max(self.queries.shape[1], vectors.shape[1])
+        # No sum of products, of any part of the terms, is larger.
+        limit = self.reach * np.abs(vectors.astype(float)).max(initial=0)
+        kind = next((kind for kind, below in EXACT if limit < below), np.int64)
+        queries, vectors = self.form(kind, width), _of_width(vectors, width).astype(kind)
+        cuts = range(0, len(ids), block)
+        largest = np.array([vectors[c : c + block].max(axis=0) for c in cuts])
+        smallest = np.array([vectors[c : c + block].min(axis=0) for c in cuts])
+        bounds = np.maximum(queries, 0) @ largest.T + np.minimum(queries, 0) @ smallest.T
+        place = np.empty(bounds.shape, np.int32)
+        order = np.argsort(-bounds, axis=1, kind="stable")
+        np.put_along_axis(place, order, np.arange(len(cuts), dtype=np.int32)[None, :], axis=1)
+        start, end = 0, 1
+        while start < len(cuts):
+            kth = self.kth.astype(kind)
+            wanted = (place >= start) & (place < end) & (bounds >= kth[:, None])
+            start, end = end, 2 * end
+            met = []
+            for chosen in np.flatnonzero(wanted.any(axis=0)):
+                asking = np.flatnonzero(wanted[:, chosen])
+                part = slice(chosen * block, (chosen + 1) * block)
+                scores = queries[asking] @ vectors[part].T
+                least = kth[asking]
+                if self.k < scores.shape[1] and (self.kth[asking] == LEAST).any():
+                    own = ids[part] == self.ids[asking, None]
+                    others = np.where(own, np.array(LEAST).astype(kind), scores)
+                    least = np.maximum(least, np.partition(others, -self.k, axis=1)[:, -self.k])
+                row, column = np.divmod(np.flatnonzero(scores >= least[:, None]), scores.shape[1])
+                other = ids[part][column] != self.ids[asking[row]]
+                row, column = row[other], column[other]
+                if len(row):
+                    met.append((asking[row], ids[part][column], scores[row, column].astype(np.int64)))
+            if met:
+                self.add(*(np.concatenate(parts) for parts in zip(*met)))
 
 
 def search(
     query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int, block: int = BLOCK
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Per query: its id, and the ids and scores of its k best among the vectors."""
-    queries, vectors = _same_width(queries, vectors)
-    cuts = range(0, len(ids), block)
-    largest = np.array([vectors[c : c + block].max(axis=0) for c in cuts])
-    smallest = np.array([vectors[c : c + block].min(axis=0) for c in cuts])
-    limit = float(np.abs(queries).max(initial=0)) * float(np.abs(vectors).max(initial=0)) * vectors.shape[1]
-    if limit < EXACT:  # then doubles are exact, and much faster
-        queries, vectors, largest, smallest = (m.astype(float) for m in (queries, vectors, largest, smallest))
-    bounds = np.maximum(queries, 0) @ largest.T + np.minimum(queries, 0) @ smallest.T
-    order = np.argsort(-bounds, axis=1, kind="stable")
-    for at, query_id in enumerate(query_ids):
-        best_ids, best, kth = np.empty(0, np.int64), np.empty(0, queries.dtype), None
-        for chosen in order[at]:
-            if kth is not None and bounds[at, chosen] < kth:
-                break
-            part = slice(chosen * block, (chosen + 1) * block)
-            scores = vectors[part] @ queries[at]
-            usable = ids[part] != query_id
-            if kth is not None:
-                usable &= scores >= kth
-            if not usable.any():
-                continue
-            best_ids = np.concatenate([best_ids, ids[part][usable]])
-            best = np.concatenate([best, scores[usable]])
-            top = np.lexsort((best_ids, -best))[:k]
-            best_ids, best = best_ids[top], best[top]
-            kth = best[-1] if len(best) == k else None
-        yield int(query_id), best_ids, best.astype(np.int64)
+    asked = Asked(query_ids, queries, k)
+    asked.meet(ids, vectors, block)
+    order = np.lexsort((asked.best, ~asked.scores, asked.rows))
+    cuts = np.searchsorted(asked.rows[order], np.arange(len(query_ids) + 1))
+    for query_id, start, end in zip(query_ids, cuts, cuts[1:]):
+        yield int(query_id), asked.best[order[start:end]], asked.scores[order[start:end]]
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
@@ -141,34 +206,32 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     groups = partitions(vectors.sparkSession)
     packed = "ids binary, data binary, wide boolean"
     ordered = vectors.repartitionByRange(groups, "vec_id").sortWithinPartitions("vec_id")
-    blocks = stored(ordered.mapInArrow(_packed(SUPER), packed))
+    blocks = stored(ordered.mapInArrow(_packed(SUPER), packed), **PLAIN)
     asked = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
-    chunks = stored(asked.mapInArrow(_packed(CHUNK), packed))
-    # A chunk goes to every group of superblocks, a superblock to one.
-    dealt = blocks.withColumn("g", F.pmod(F.xxhash64("ids"), F.lit(groups)))
-    everywhere = chunks.select(
-        *[F.col(c).alias(f"q_{c}") for c in chunks.columns],
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(groups - 1).cast("bigint"))).alias("g"),
-    )
+    chunks = stored(asked.mapInArrow(_packed(CHUNK), packed), **PLAIN)
+    chunks = chunks.select(*[F.col(c).alias(f"q_{c}") for c in chunks.columns])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = chunk = None  # of the queries that now meet all superblocks of the partition
+
+        def found() -> Iterator[pa.RecordBatch]:
+            if chunk is not None and len(chunk.rows):
+                yield pa.record_batch(
+                    {"query_id": chunk.ids[chunk.rows], "vec_id": chunk.best, "score": chunk.scores}
+                )
+
         for batch in batches:
             for row in range(batch.num_rows):
-                cell = {name: batch.column(name)[row].as_py() for name in batch.schema.names}
-                query_ids, wanted = _unpack(cell["q_ids"], cell["q_data"], cell["q_wide"])
-                ids, values = _unpack(cell["ids"], cell["data"], cell["wide"])
-                found = list(search(query_ids, wanted, ids, values, k))
-                sizes = [len(best) for _, best, _ in found]
-                if sum(sizes):
-                    yield pa.record_batch(
-                        {
-                            "query_id": np.repeat([q for q, _, _ in found], sizes),
-                            "vec_id": np.concatenate([best for _, best, _ in found]),
-                            "score": np.concatenate([scores for _, _, scores in found]),
-                        }
-                    )
-
-    met = everywhere.join(dealt, "g").drop("g")
+                q_ids, q_data, q_wide, ids, data, wide = (column[row] for column in batch.columns)
+                if q_ids.as_py() != names:
+                    yield from found()
+                    names = q_ids.as_py()
+                    chunk = Asked(*_unpack(names, q_data.as_py(), q_wide.as_py()), k)
+                chunk.meet(*_unpack(ids.as_py(), data.as_py(), wide.as_py()))
+        yield from found()
+
+    # Sizes of files say little of sizes in memory: with this hint no side is broadcast.
+    met = chunks.crossJoin(blocks.hint("shuffle_replicate_nl"))
     best = met.mapInArrow(meet, "query_id long, vec_id long, score long")
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)

@@ -95,11 +95,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, **options: str) -> DataFrame:
     """Write a table to the shared folder and read it back: each reader loads its columns only."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/blotter-llm/{uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(**({"compression": "zstd"} | options)).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

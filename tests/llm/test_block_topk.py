@@ -4,9 +4,11 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from blotter.llm import block_topk
+from tests.plans import executed_plan
 
 
 def expected(rows, every, k):
@@ -69,3 +71,33 @@ def test_blocks_are_skipped():
     blocks = vectors.reshape(32, 128, 32)
     bounds = np.maximum(query, 0) @ blocks.max(axis=1).T + np.minimum(query, 0) @ blocks.min(axis=1).T
     assert (bounds >= scores[-1]).sum() == 1
+
+
+def test_nothing_is_broadcast(spark):
+    """Small files may hold large tables: these vectors take a few hundred bytes, repeated per partition megabytes."""
+    frame = spark.range(20_000).selectExpr("id AS vec_id", "array_repeat(float(1), 64) AS embedding")
+    found = block_topk.top_k_of_embeddings(frame)
+    assert "Broadcast" not in executed_plan(found) and "CartesianProduct" in executed_plan(found)
+    rows = found.where("query_id < 100").collect()
+    assert sorted((r.query_id, r.rank, r.vec_id) for r in rows) == [
+        *[(0, rank, rank) for rank in range(1, 6)], *[(50, rank, rank - 1) for rank in range(1, 6)]
+    ]
+    assert {r.score for r in rows} == {64 * 256 * 256}
+
+
+def test_chunks_meet_every_superblock(spark, monkeypatch):
+    monkeypatch.setattr(block_topk, "SUPER", 40)
+    monkeypatch.setattr(block_topk, "CHUNK", 3)
+    rng = random.Random(6)
+    rows = as_floats([(i % 900, [rng.gauss(0, 0.2) for _ in range(rng.randrange(1, 6))]) for i in range(1000)])
+    assert found(spark, rows, 10, 7) == expected(rows, 10, 7)
+
+
+def test_rows_of_wide_vectors_are_small():
+    width = block_topk.COMPONENTS // 4
+    batch = pa.record_batch({"vec_id": range(10), "v": pa.array([[1] * width] * 9 + [[2]])})
+    packed = list(block_topk._packed(2048)(iter([batch])))
+    unpacked = [block_topk._unpack(*(b.column(name)[0].as_py() for name in b.schema.names)) for b in packed]
+    assert [ids.tolist() for ids, _ in unpacked] == [[0, 1, 2, 3], [4, 5, 6, 7], [8, 9]]
+    assert all(values.size <= block_topk.COMPONENTS for _, values in unpacked)
+    assert unpacked[-1][1].sum() == width + 2
