@@ -10,10 +10,11 @@ the same step (of 1, 1, 2, 4, 8 ... blocks) are scored by one matrix product.
 
 Blocks travel in superblocks of up to `SUPER` vectors and queries in chunks of up to `CHUNK`, of at most
 `COMPONENTS` numbers each. Every chunk meets every superblock in a Cartesian product of the two stored tables,
-partition by partition: nothing is broadcast, copied per partition or collected, and a task holds a
-partition's superblocks. Both tables are stored as large as they are in memory, so that the size of a
-partition of files bounds what a task holds, also where vectors repeat. In a task a chunk meets
-one superblock after the other and keeps its k-th scores; the best k of every task are merged per query.
+partition by partition: nothing is broadcast, copied per partition or collected. A task holds at most `HELD`
+chunks, with their k-th scores, and streams through its superblocks; there are about as many tasks as shuffle
+partitions, so that what they find grows with the input and not with its square. The best k of every task are
+merged per query. Both tables are stored as large as they are in memory, so that the size of a
+partition of files bounds what a task reads at once, also where vectors repeat.
 
 Defined cases: vectors that are null or hold null, NaN or infinite components take no part, nor do rows
 without an id. A missing component of a shorter vector counts as 0. A row is no candidate for
@@ -35,6 +36,7 @@ from blotter.llm.common import partitions, stored
 BLOCK = 128
 SUPER = 2048
 CHUNK = 4096
+HELD = 8
 COMPONENTS = 1 << 18
 # Integers below the limit are exact in the type; the first that holds all sums is taken.
 EXACT = ((np.float32, float(1 << 24)), (np.float64, float(1 << 52)))
@@ -209,30 +211,28 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     blocks = stored(ordered.mapInArrow(_packed(SUPER), packed), **PLAIN)
     asked = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
     chunks = stored(asked.mapInArrow(_packed(CHUNK), packed), **PLAIN)
-    chunks = chunks.select(*[F.col(c).alias(f"q_{c}") for c in chunks.columns])
+    held = -(-chunks.count() // HELD) or 1
+    dealt = chunks.select(*[F.col(c).alias(f"q_{c}") for c in chunks.columns]).repartition(held)
+    streams = blocks.coalesce(-(-groups // held))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = chunk = None  # of the queries that now meet all superblocks of the partition
-
-        def found() -> Iterator[pa.RecordBatch]:
-            if chunk is not None and len(chunk.rows):
+        met: dict[bytes, Asked] = {}
+        for batch in batches:
+            for row in range(batch.num_rows):
+                ids, data, wide, q_ids, q_data, q_wide = (column[row] for column in batch.columns)
+                names = q_ids.as_py()
+                if names not in met:
+                    met[names] = Asked(*_unpack(names, q_data.as_py(), q_wide.as_py()), k)
+                met[names].meet(*_unpack(ids.as_py(), data.as_py(), wide.as_py()))
+        for chunk in met.values():
+            if len(chunk.rows):
                 yield pa.record_batch(
                     {"query_id": chunk.ids[chunk.rows], "vec_id": chunk.best, "score": chunk.scores}
                 )
 
-        for batch in batches:
-            for row in range(batch.num_rows):
-                q_ids, q_data, q_wide, ids, data, wide = (column[row] for column in batch.columns)
-                if q_ids.as_py() != names:
-                    yield from found()
-                    names = q_ids.as_py()
-                    chunk = Asked(*_unpack(names, q_data.as_py(), q_wide.as_py()), k)
-                chunk.meet(*_unpack(ids.as_py(), data.as_py(), wide.as_py()))
-        yield from found()
-
     # Sizes of files say little of sizes in memory: with this hint no side is broadcast.
-    met = chunks.crossJoin(blocks.hint("shuffle_replicate_nl"))
-    best = met.mapInArrow(meet, "query_id long, vec_id long, score long")
+    pairs = streams.crossJoin(dealt.hint("shuffle_replicate_nl"))
+    best = pairs.mapInArrow(meet, "query_id long, vec_id long, score long")
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
